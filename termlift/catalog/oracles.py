@@ -207,6 +207,13 @@ ORACLES = {
     "term_counts": f"WITH {_FEATURE_CTES} SELECT doc_id, featureIndex, tf AS weight FROM tf",
     "idf_weights": f"WITH {_FEATURE_CTES} SELECT term, df, round(idf, 6) AS idf FROM idf",
     "tfidf": f"WITH {_FEATURE_CTES} SELECT doc_id, featureIndex, round(w, 6) AS weight FROM weights",
+    "feature_pipeline": f"""
+        WITH {_FEATURE_CTES},
+        labels AS (SELECT category, (row_number() OVER (ORDER BY count(*) DESC, category) - 1)::DOUBLE AS label
+                   FROM docs GROUP BY category)
+        SELECT doc_id, label, term, round(count(*) * ln(((SELECT count(*) FROM docs) + 1.0) / (df + 1.0)), 6) AS weight
+        FROM tokens JOIN frequent USING (term) JOIN labels USING (category) GROUP BY doc_id, label, term, df
+        HAVING df < (SELECT count(*) FROM docs)""",
     "label_index": """
         SELECT category, n, (row_number() OVER (ORDER BY n DESC, category ASC) - 1)::DOUBLE AS label
         FROM (SELECT lang AS category, count(*) AS n FROM documents

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from termlift.operators.dictionary import clean_terms, merged_dictionary
 from termlift.operators.tokens import add_terms, drop_stop_words, explode_terms
 from termlift.operators.topk import top_lists, top_terms
 from termlift.plans.classifier import randomly_tuned_classifier, tuned_classifier
-from termlift.plans.feature_ranking import build_features, feature_ranking
+from termlift.plans.feature_ranking import Features, build_features
 from termlift.plans.scale import checked_broadcast, scratch_path, spread, written
 from termlift.plans.term_report import counted, term_report
 from termlift.sinks.models import load_model, save_model
@@ -52,16 +53,16 @@ def _with_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _vocabulary(with_terms: DataFrame) -> DataFrame:
-    vocab = features.vocabulary(with_terms, settings.VOCABULARY_SIZE, settings.MIN_DOCUMENTS)
-    return written(vocab, "vocabulary")
+    corpus = written(counts.corpus_counts(with_terms), "corpus_counts")
+    return features.vocabulary(corpus, settings.VOCABULARY_SIZE, settings.MIN_DOCUMENTS)
 
 
-def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """TF-IDF vectors with the label index, and the vocabulary they use."""
-    documents = _with_terms(spark, sf)
-    vocab = _vocabulary(documents)
-    labelled = features.label_indexer(documents).transform(features.tfidf(documents, vocab))
-    return written(labelled.select("doc_id", "category", "label", "features"), "vectors"), vocab
+def _features(spark: SparkSession, sf: str) -> Features:
+    return build_features(_reviews(spark, sf), STOP, settings.VOCABULARY_SIZE, settings.MIN_DOCUMENTS)
+
+
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return _features(spark, sf).vectors
 
 
 def _long(vectors: DataFrame, column: str) -> DataFrame:
@@ -219,28 +220,38 @@ def report_from_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def doc_freq(spark: SparkSession, sf: str) -> DataFrame:
-    frequent = counts.term_and_document_freq(_with_terms(spark, sf))
+    frequent = counts.document_freq(counts.corpus_counts(_with_terms(spark, sf)))
     return frequent.filter(F.col("df") >= settings.MIN_DOCUMENTS)
 
 
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    return features.vocabulary(_with_terms(spark, sf), settings.VOCABULARY_SIZE, settings.MIN_DOCUMENTS)
+    return _vocabulary(_with_terms(spark, sf)).drop("idf")
 
 
 def idf_weights(spark: SparkSession, sf: str) -> DataFrame:
-    weights = features.inverse_document_freq(vocabulary(spark, sf), _reviews(spark, sf))
-    return weights.select("term", "df", rounded(F.col("idf")).alias("idf"))
+    return _vocabulary(_with_terms(spark, sf)).select("term", "df", rounded(F.col("idf")).alias("idf"))
 
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
     documents = _with_terms(spark, sf)
-    return _long(features.tfidf(documents, _vocabulary(documents)), "features")
+    return _long(PipelineModel(list(features.tfidf_stages(_vocabulary(documents)))).transform(documents), "features")
+
+
+def feature_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """MLlib's own pipeline, with room for every term of the test tables in the vocabulary."""
+    reviews = spread(_reviews(spark, sf))
+    model = features.feature_pipeline(STOP, 1 << 18, settings.MIN_DOCUMENTS).fit(reviews)
+    vocab = features.vocabulary_of(model.stages[2], reviews)
+    weights = explode_vector(model.transform(reviews), "features", "doc_id", "label")
+    return weights.join(F.broadcast(vocab), "featureIndex").select(
+        "doc_id", "label", "term", rounded(F.col("weight")).alias("weight")
+    )
 
 
 def term_counts(spark: SparkSession, sf: str) -> DataFrame:
     documents = _with_terms(spark, sf)
-    counted_terms = features.vectorizer(_vocabulary(documents)).transform(documents)
-    return _long(counted_terms, "counts")
+    counting, _ = features.tfidf_stages(_vocabulary(documents))
+    return _long(counting.transform(documents), "counts")
 
 
 def label_index(spark: SparkSession, sf: str) -> DataFrame:
@@ -252,17 +263,17 @@ def _rounded_statistics(tested: DataFrame) -> DataFrame:
 
 
 def feature_chi2(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_statistics(selection.feature_chi2(_vectors(spark, sf)[0]))
+    return _rounded_statistics(selection.feature_chi2(_vectors(spark, sf)))
 
 
 def feature_chi2_test(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_statistics(selection.feature_chi2_test(_vectors(spark, sf)[0]))
+    return _rounded_statistics(selection.feature_chi2_test(_vectors(spark, sf)))
 
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, vocab = _vectors(spark, sf)
-    tested = _rounded_statistics(selection.feature_chi2(vectors))
-    return selection.rank_features(tested, vocab, settings.SELECTED_FEATURES)
+    built = _features(spark, sf)
+    tested = _rounded_statistics(selection.feature_chi2(built.vectors))
+    return selection.rank_features(tested, built.vocabulary, settings.SELECTED_FEATURES)
 
 
 def feature_chi2_rank(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,31 +286,24 @@ def score_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def feature_pipeline_rank(spark: SparkSession, sf: str) -> DataFrame:
-    built = build_features(_reviews(spark, sf), STOP, settings.VOCABULARY_SIZE)
-    return feature_ranking(built, settings.SELECTED_FEATURES).select(
-        "term", rounded(F.col("statistic")).alias("statistic")
-    )
-
-
 def select_by_statistic(spark: SparkSession, sf: str) -> DataFrame:
-    tested = _rounded_statistics(selection.feature_chi2(_vectors(spark, sf)[0]))
+    tested = _rounded_statistics(selection.feature_chi2(_vectors(spark, sf)))
     return selection.select_by_statistic(tested, settings.SELECTED_FEATURES)
 
 
 def select_by_pvalue(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, _ = _vectors(spark, sf)
+    vectors = _vectors(spark, sf)
     selected = selection.pvalue_selector(settings.SELECTED_FEATURES).fit(vectors).transform(vectors)
     return _long(selected, "selected")
 
 
 def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, _ = _vectors(spark, sf)
+    vectors = _vectors(spark, sf)
     return _long(classify.scaler(True, "features").fit(vectors).transform(vectors), "scaled")
 
 
 def l2_features(spark: SparkSession, sf: str) -> DataFrame:
-    vectors, _ = _vectors(spark, sf)
+    vectors = _vectors(spark, sf)
     scaled = classify.scaler(True, "features").fit(vectors).transform(vectors)
     return _long(classify.normalizer().transform(scaled), "normal")
 
@@ -337,7 +341,7 @@ def param_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    vectors = _vectors(spark, sf)[0]
+    vectors = _vectors(spark, sf)
     parts = split.stable_split(vectors, "doc_id")
     return parts.filter("part != 'test'"), parts.filter("part = 'test'")
 
@@ -345,7 +349,7 @@ def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 def svm_predictions(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(spark, sf)
     train.persist()
-    model = tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5))
+    model = tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5), PARALLELISM)
     train.unpersist()
     return classify.score(model, test, "doc_id", "label")
 
@@ -367,21 +371,22 @@ def weighted_f1_binary(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.weighted_f1(pairs).select("rows", rounded(F.col("f1")).alias("f1"))
 
 
+PARALLELISM = 4
 SMALL_GRID = tuning.Grid((settings.SELECTED_FEATURES,), (True,), (0.1, 1.0), (5,))
 
 
 def tuning_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return tuned_classifier(_vectors(spark, sf)[0], "doc_id", SMALL_GRID).metrics
+    return tuned_classifier(_vectors(spark, sf), "doc_id", SMALL_GRID, PARALLELISM).metrics
 
 
 def best_params(spark: SparkSession, sf: str) -> DataFrame:
-    return randomly_tuned_classifier(_vectors(spark, sf)[0], SMALL_GRID).best
+    return randomly_tuned_classifier(_vectors(spark, sf), SMALL_GRID, parallelism=PARALLELISM).best
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(spark, sf)
     train.persist()
-    model = tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5))
+    model = tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5), PARALLELISM)
     train.unpersist()
     path = scratch_path(spark, "model")
     save_model(model, path)
@@ -418,12 +423,12 @@ QUERIES = {
     "term_counts": term_counts,
     "idf_weights": idf_weights,
     "tfidf": tfidf,
+    "feature_pipeline": feature_pipeline,
     "label_index": label_index,
     "feature_chi2": feature_chi2,
     "feature_chi2_test": feature_chi2_test,
     "feature_chi2_rank": feature_chi2_rank,
     "score_sink_roundtrip": score_sink_roundtrip,
-    "feature_pipeline_rank": feature_pipeline_rank,
     "select_by_statistic": select_by_statistic,
     "select_by_pvalue": select_by_pvalue,
     "scaled_features": scaled_features,

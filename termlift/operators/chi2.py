@@ -7,14 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from termlift.functions.scores import chi2_2x2
-from termlift.operators.counts import category_totals, term_totals
+from termlift.operators.counts import category_totals, grand_total, term_totals
 from termlift.plans.scale import BROADCAST_ROWS, within, written
 
 
-def _scored(with_margins: DataFrame, totals: DataFrame) -> DataFrame:
-    everything = totals.agg(F.sum("category_total")).scalar()
-    score = chi2_2x2(F.col("freq_ct"), F.col("term_total"), F.col("category_total"), everything)
-    return with_margins.select("category", "term", "freq_ct", score.alias("chi2"))
+def _category_side(freq: DataFrame) -> DataFrame:
+    """Category totals with the grand total on each row, as a written table."""
+    totals = category_totals(freq)
+    everything = grand_total(freq).scalar()
+    return written(totals.withColumn("grand_total", everything), "category_totals")
+
+
+def _scored(with_margins: DataFrame) -> DataFrame:
+    margins = (F.col(name) for name in ("freq_ct", "term_total", "category_total", "grand_total"))
+    return with_margins.select("category", "term", "freq_ct", chi2_2x2(*margins).alias("chi2"))
 
 
 def chi2_scores(freq: DataFrame, max_categories: int = BROADCAST_ROWS) -> DataFrame:
@@ -25,12 +31,12 @@ def chi2_scores(freq: DataFrame, max_categories: int = BROADCAST_ROWS) -> DataFr
     totals are broadcast. Beyond the bound it takes `chi2_scores_by_join`.
     `freq` is read several times, so give it a written table.
     """
-    totals = written(category_totals(freq), "category_totals")
+    totals = _category_side(freq)
     if not within(totals, max_categories):
         return _joined(freq, totals)
     term_total = F.sum("freq_ct").over(Window.partitionBy("term")).alias("term_total")
     with_term = freq.select("category", "term", "freq_ct", term_total)
-    return _scored(with_term.join(F.broadcast(totals), "category"), totals)
+    return _scored(with_term.join(F.broadcast(totals), "category"))
 
 
 def chi2_scores_by_join(freq: DataFrame, max_categories: int = BROADCAST_ROWS) -> DataFrame:
@@ -39,14 +45,10 @@ def chi2_scores_by_join(freq: DataFrame, max_categories: int = BROADCAST_ROWS) -
     Term totals are unbounded and shuffle; category totals are broadcast if
     proven small, else they shuffle and adaptive execution splits hot categories.
     """
-    totals = written(category_totals(freq), "category_totals")
+    totals = _category_side(freq)
     return _joined(freq, F.broadcast(totals) if within(totals, max_categories) else totals)
 
 
 def _joined(freq: DataFrame, totals: DataFrame) -> DataFrame:
-    joined = (
-        freq.join(term_totals(freq), "term", "left")
-        .join(totals, "category", "left")
-        .fillna(0, ["term_total", "category_total"])
-    )
-    return _scored(joined, totals)
+    joined = freq.join(term_totals(freq), "term", "left").join(totals, "category", "left")
+    return _scored(joined.fillna(0, ["term_total", "category_total", "grand_total"]))

@@ -51,6 +51,6 @@ def classifier_pipeline(
     )
 
 
-def score(model, rows: DataFrame, *keep: str) -> DataFrame:
+def score(model, unscored: DataFrame, *keep: str) -> DataFrame:
     """Batch scoring: the kept columns and `prediction`."""
-    return model.transform(rows).select(*keep, "prediction")
+    return model.transform(unscored).select(*keep, "prediction")

@@ -53,23 +53,34 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 
 
-def term_and_document_freq(with_terms: DataFrame) -> DataFrame:
+def corpus_counts(with_terms: DataFrame) -> DataFrame:
     """Per term: occurrences `n` and number of rows that hold it, `df`.
 
     Each row's terms are sorted and paired with their predecessor; a term that
     differs from it counts its row once. That needs one shuffle, by term, where
     grouping by document first would shuffle every (document, term) pair too.
+    Each row also adds one null term, so the null term's counts are the number
+    of rows and the texts need not be read again for it.
     """
+    nothing = F.array(F.lit(None).cast("string"))
     ordered = with_terms.select(F.sort_array("terms").alias("t"))
-    shifted = F.concat(F.array(F.lit(None).cast("string")), F.col("t"))
-    pairs = F.arrays_zip(F.col("t").alias("term"), F.slice(shifted, F.lit(1), F.size("t")).alias("before"))
+    pairs = F.arrays_zip(
+        F.concat("t", nothing).alias("term"), F.concat(nothing, F.col("t")).alias("before")
+    )
+    is_first = F.col("term").isNull() | ~F.col("term").eqNullSafe(F.col("before"))
     return (
         ordered.select(F.inline_outer(pairs))
         .toDF("term", "before")
-        .filter(F.col("term").isNotNull())
         .groupBy("term")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(~F.col("term").eqNullSafe(F.col("before"))).alias("df"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_first).alias("df"))
     )
+
+
+def document_freq(corpus: DataFrame) -> DataFrame:
+    """The terms of a `corpus_counts` table."""
+    return corpus.filter(F.col("term").isNotNull())
+
+
+def document_count(corpus: DataFrame) -> DataFrame:
+    """The number of rows behind a `corpus_counts` table, one row."""
+    return corpus.filter(F.col("term").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("documents"))

@@ -9,49 +9,59 @@ from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
     CountVectorizerModel,
+    ElementwiseProduct,
     RegexTokenizer,
     StopWordsRemover,
     StringIndexer,
 )
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from termlift.functions.text import FEATURE_DELIMITERS, MIN_TERM_LENGTH
-from termlift.operators.counts import term_and_document_freq
+from termlift.operators.counts import document_count, document_freq
 from termlift.sources.tables import rows
 
 VOCABULARY_SIZE = 2000
 MIN_DOCUMENTS = 2
 
 
-def vocabulary(
-    with_terms: DataFrame, size: int = VOCABULARY_SIZE, min_documents: int = MIN_DOCUMENTS
-) -> DataFrame:
-    """The `size` most frequent terms found in enough rows: `featureIndex, term, n, df`.
+def vocabulary(corpus: DataFrame, size: int = VOCABULARY_SIZE, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """The `size` most frequent terms found in enough documents: `featureIndex, term, n, df, idf`.
 
-    Equal counts go by term, so the result does not depend on partitioning.
-    The numbering window holds `size` rows at most.
+    Reads a written `corpus_counts` table. Equal counts go by term, so the
+    result does not depend on partitioning. The weight `idf` is
+    ln((documents + 1) / (df + 1)). The numbering window holds `size` rows at most.
     """
-    frequent = term_and_document_freq(with_terms).filter(F.col("df") >= min_documents)
+    frequent = document_freq(corpus).filter(F.col("df") >= min_documents)
     order = (F.desc("n"), F.asc("term"))
     number = F.row_number().over(Window.orderBy(*order)) - 1
-    return frequent.orderBy(*order).limit(size).select(number.alias("featureIndex"), "term", "n", "df")
+    documents = document_count(corpus).scalar()
+    idf = F.log((documents + F.lit(1.0)) / (F.col("df") + 1))
+    return frequent.orderBy(*order).limit(size).select(
+        number.alias("featureIndex"), "term", "n", "df", idf.alias("idf")
+    )
 
 
-def vectorizer(vocab: DataFrame, inputCol: str = "terms", outputCol: str = "counts") -> CountVectorizerModel:
-    """A count vectorizer whose feature indexes are those of a `vocabulary` table.
+def tfidf_stages(vocab: DataFrame, terms: str = "terms") -> tuple[CountVectorizerModel, ElementwiseProduct]:
+    """Transformers from `terms` to `counts` to `features` (TF-IDF), both over a `vocabulary` table.
 
-    Its terms, as many as the vocabulary size, go to the driver, as in a fitted one.
+    The vocabulary's rows, as many as its size, go to the driver, as they do in
+    a fitted count vectorizer. The weights come with them, so no pass fits them.
     """
-    ordered = vocab.select("featureIndex", "term").orderBy("featureIndex").collect()
-    return CountVectorizerModel.from_vocabulary([row.term for row in ordered], inputCol, outputCol)
+    ordered = vocab.select("featureIndex", "term", "idf").orderBy("featureIndex").collect()
+    counting = CountVectorizerModel.from_vocabulary([row.term for row in ordered], terms, "counts")
+    weights = Vectors.dense([row.idf for row in ordered])
+    return counting, ElementwiseProduct(scalingVec=weights, inputCol="counts", outputCol="features")
 
 
-def inverse_document_freq(vocab: DataFrame, documents: DataFrame) -> DataFrame:
-    """Add `idf` = ln((rows + 1) / (df + 1)) to a `vocabulary` table, with no pass over the vectors."""
-    total = documents.agg(F.count(F.lit(1))).scalar()
-    return vocab.withColumn("idf", F.log((total + F.lit(1.0)) / (F.col("df") + 1)))
+def term_stages(stop_words: Sequence[str], text: str = "reviewText") -> tuple[RegexTokenizer, StopWordsRemover]:
+    """Transformers from a text column to `tokens` to `terms`."""
+    tokenizer = RegexTokenizer(
+        inputCol=text, outputCol="tokens", pattern=FEATURE_DELIMITERS, minTokenLength=MIN_TERM_LENGTH
+    )
+    return tokenizer, StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words))
 
 
 def feature_pipeline(
@@ -61,13 +71,14 @@ def feature_pipeline(
     text: str = "reviewText",
     label: str = "category",
 ) -> Pipeline:
-    """Tokenizer, stop-word remover, count vectorizer, IDF and label indexer in one estimator."""
+    """Tokenizer, stop-word remover, count vectorizer, IDF and label indexer in one estimator.
+
+    Fitting reads the texts three times. Which of equally frequent terms make
+    the vocabulary is up to the partitioning; `build_features` has neither trait.
+    """
     return Pipeline(
         stages=[
-            RegexTokenizer(
-                inputCol=text, outputCol="tokens", pattern=FEATURE_DELIMITERS, minTokenLength=MIN_TERM_LENGTH
-            ),
-            StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words)),
+            *term_stages(stop_words, text),
             CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=size, minDF=min_documents),
             IDF(inputCol="counts", outputCol="features"),
             StringIndexer(inputCol=label, outputCol="label"),
@@ -75,12 +86,6 @@ def feature_pipeline(
     )
 
 
-def tfidf(with_terms: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Add `counts` and `features` (TF-IDF) vectors over a given vocabulary."""
-    counted = vectorizer(vocab).transform(with_terms)
-    return IDF(inputCol="counts", outputCol="features").fit(counted).transform(counted)
-
-
 def label_indexer(labelled: DataFrame, label: str = "category"):
     """Fitted indexer: 0 is the most frequent label, equal counts go by label."""
     return StringIndexer(inputCol=label, outputCol="label").fit(labelled)

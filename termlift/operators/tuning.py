@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import astuple, dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
@@ -15,6 +18,7 @@ from termlift.operators.classify import classifier_pipeline, linear_svm, normali
 from termlift.operators.evaluate import f1_evaluator
 from termlift.operators.selection import pvalue_ranking
 from termlift.operators.split import SEED
+from termlift.sources.tables import rows
 
 _GRID_SCHEMA = "numTopFeatures int, withStd boolean, regParam double, maxIter int"
 _METRIC_SCHEMA = _GRID_SCHEMA + ", f1 double"
@@ -44,7 +48,7 @@ def param_grid(spark: SparkSession, grid: Grid) -> DataFrame:
     """Every combination as a row: `numTopFeatures, withStd, regParam, maxIter`."""
     values = [(list(grid.num_top_features), list(grid.with_std), list(grid.reg_param), list(grid.max_iter))]
     schema = "numTopFeatures array<int>, withStd array<boolean>, regParam array<double>, maxIter array<int>"
-    combined = spark.createDataFrame(values, schema)
+    combined = rows(spark, values, schema)
     for name in ("numTopFeatures", "withStd", "regParam", "maxIter"):
         combined = combined.withColumn(name, F.explode(name))
     return combined
@@ -76,13 +80,13 @@ def tune_with_random_split(
 
 def split_metrics(model: TrainValidationSplitModel, like: DataFrame) -> DataFrame:
     """The validation F1 of each point as a table."""
-    rows = []
+    values = []
     for params, metric in zip(model.getEstimatorParamMaps(), model.validationMetrics):
         named = {param.name: value for param, value in params.items()}
-        rows.append(
+        values.append(
             (int(named["selectionThreshold"]), named["withStd"], named["regParam"], named["maxIter"], float(metric))
         )
-    return like.sparkSession.createDataFrame(rows, _METRIC_SCHEMA)
+    return rows(like.sparkSession, values, _METRIC_SCHEMA)
 
 
 def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, parallelism: int = 1) -> DataFrame:
@@ -90,8 +94,10 @@ def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, paralleli
 
     The chi-square test depends on no parameter and runs once. Each feature
     count and scaling is prepared once and kept for all SVM settings, where
-    fitting whole pipelines would repeat both for every point.
+    fitting whole pipelines would repeat both for every point. Up to
+    `parallelism` fits run at a time.
     """
+    spark = train.sparkSession
     evaluator = f1_evaluator()
     ranking = pvalue_ranking(train, max(grid.num_top_features))
     results = []
@@ -101,14 +107,20 @@ def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, paralleli
             scaling = scaler(with_std).fit(slicer.transform(train))
             prepare = PipelineModel([slicer, scaling, normalizer()])
             fitting, checking = (prepare.transform(part).select("label", "normal").persist() for part in (train, validation))
-            for reg_param in grid.reg_param:
-                for max_iter in grid.max_iter:
-                    model = one_vs_rest(linear_svm(reg_param, max_iter), parallelism).fit(fitting)
-                    f1 = evaluator.evaluate(model.transform(checking))
-                    results.append(astuple(Point(k, with_std, reg_param, max_iter)) + (float(f1),))
+            fitting.count()
+            settings = list(product(grid.reg_param, grid.max_iter))
+            at_once = min(parallelism, len(settings))
+
+            def validated(setting, fitting=fitting, checking=checking):
+                svm = one_vs_rest(linear_svm(*setting), max(1, parallelism // at_once))
+                return evaluator.evaluate(svm.fit(fitting).transform(checking))
+
+            with ThreadPool(at_once) as pool:
+                scores = pool.map(inheritable_thread_target(spark)(validated), settings)
+            results += [(k, with_std, *setting, float(f1)) for setting, f1 in zip(settings, scores)]
             fitting.unpersist()
             checking.unpersist()
-    return train.sparkSession.createDataFrame(results, _METRIC_SCHEMA)
+    return rows(spark, results, _METRIC_SCHEMA)
 
 
 def best_point(metrics: DataFrame) -> Point:
@@ -135,4 +147,4 @@ def best_params(model: PipelineModel, test: DataFrame) -> DataFrame:
         svm.getMaxIter(),
         float(f1),
     )
-    return test.sparkSession.createDataFrame([row], _METRIC_SCHEMA)
+    return rows(test.sparkSession, [row], _METRIC_SCHEMA)

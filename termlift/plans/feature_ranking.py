@@ -8,35 +8,55 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from termlift.operators.features import VOCABULARY_SIZE, feature_pipeline, vocabulary_of
+from termlift.operators.counts import corpus_counts
+from termlift.operators.features import (
+    MIN_DOCUMENTS,
+    VOCABULARY_SIZE,
+    label_indexer,
+    term_stages,
+    tfidf_stages,
+    vocabulary,
+)
 from termlift.operators.selection import feature_chi2, rank_features
 from termlift.plans.scale import spread, written
 
 
 @dataclass(frozen=True)
 class Features:
-    """A fitted feature pipeline and the vectors it gives."""
+    """A fitted feature pipeline, its vocabulary, and the vectors it gives."""
 
     model: PipelineModel
+    vocabulary: DataFrame
     vectors: DataFrame
 
 
 def build_features(
-    reviews: DataFrame, stop_words: Sequence[str], size: int = VOCABULARY_SIZE, fit_on: DataFrame | None = None
+    reviews: DataFrame,
+    stop_words: Sequence[str],
+    size: int = VOCABULARY_SIZE,
+    min_documents: int = MIN_DOCUMENTS,
+    fit_on: DataFrame | None = None,
 ) -> Features:
-    """Fit the feature pipeline and write the vectors, with every column of `reviews` but the text.
+    """Vocabulary, TF-IDF vectors and label indexes of `category, reviewText` rows.
 
-    By default it fits on all rows. To keep test rows out of the vocabulary,
-    the weights and the label order, pass the training rows as `fit_on`.
+    The texts are read twice: once for the vocabulary with its weights, once
+    for the vectors. The vectors are written with every column of `reviews` but
+    the text, and the labels are counted on that table.
+    By default all rows make the vocabulary and weights. To keep test rows out
+    of them, pass the training rows as `fit_on`.
     """
     source = spread(reviews)
-    model = feature_pipeline(stop_words, size).fit(spread(fit_on) if fit_on is not None else source)
+    to_terms = PipelineModel(list(term_stages(stop_words)))
+    fitted = source if fit_on is None else spread(fit_on)
+    corpus = written(corpus_counts(to_terms.transform(fitted)), "corpus_counts")
+    vocab = written(vocabulary(corpus, size, min_documents), "vocabulary")
+    to_vectors = PipelineModel([*to_terms.stages, *tfidf_stages(vocab)])
     keep = [column for column in reviews.columns if column != "reviewText"]
-    vectors = model.transform(source).select(*keep, "label", "features")
-    return Features(model, written(vectors, "vectors"))
+    vectors = written(to_vectors.transform(source).select(*keep, "features"), "vectors")
+    indexer = label_indexer(vectors)
+    return Features(PipelineModel([*to_vectors.stages, indexer]), vocab, indexer.transform(vectors))
 
 
 def feature_ranking(features: Features, k: int = VOCABULARY_SIZE) -> DataFrame:
     """The k terms with the largest statistic, best first."""
-    vocab = vocabulary_of(features.model.stages[2], features.vectors)
-    return rank_features(feature_chi2(features.vectors), vocab, k)
+    return rank_features(feature_chi2(features.vectors), features.vocabulary, k)

@@ -8,6 +8,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termlift.sources.tables import rows
+
 TERM_SCHEMA = "term string"
 
 
@@ -23,4 +25,4 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
 
 def stop_word_table(spark: SparkSession, words: Iterable[str]) -> DataFrame:
     """In-memory words as column `term`."""
-    return spark.createDataFrame([(word,) for word in sorted(set(words))], TERM_SCHEMA)
+    return rows(spark, [(word,) for word in sorted(set(words))], TERM_SCHEMA)
