@@ -50,7 +50,7 @@ def tfidf_stages(vocab: DataFrame, terms: str = "terms") -> tuple[CountVectorize
     The vocabulary's rows, as many as its size, go to the driver, as they do in
     a fitted count vectorizer. The weights come with them, so no pass fits them.
     """
-    ordered = vocab.select("featureIndex", "term", "idf").orderBy("featureIndex").collect()
+    ordered = sorted(vocab.select("featureIndex", "term", "idf").collect())
     counting = CountVectorizerModel.from_vocabulary([row.term for row in ordered], terms, "counts")
     weights = Vectors.dense([row.idf for row in ordered])
     return counting, ElementwiseProduct(scalingVec=weights, inputCol="counts", outputCol="features")

@@ -27,48 +27,55 @@ def feature_chi2(vectors: DataFrame, features: str = "features", label: str = "l
         .agg(F.count(F.lit(1)).cast("double").alias("observed")),
         "contingency",
     )
-    labels = written(
-        vectors.groupBy(label).agg(F.count(F.lit(1)).cast("double").alias("label_total")), "label_totals"
-    )
-    total = labels.agg(F.sum("label_total")).scalar()
-    label_count = labels.agg(F.count(F.lit(1))).scalar()
-    small_labels = checked_broadcast(labels)
+    labels = checked_broadcast(written(_label_totals(vectors, label), "label_totals"))
+    total, labels_seen = F.any_value("total").alias("total"), F.any_value("labels").alias("labels")
 
     by_value = (
-        cells.join(small_labels, label)
+        cells.join(labels, label)
         .groupBy("featureIndex", "weight")
         .agg(
             F.sum("observed").alias("row_total"),
             F.sum(F.col("observed") * F.col("observed") / F.col("label_total")).alias("share"),
+            total,
         )
         .groupBy("featureIndex")
         .agg(
-            F.sum(total / F.col("row_total") * F.col("share") - F.col("row_total")).alias("non_zero"),
+            F.sum(F.col("total") / F.col("row_total") * F.col("share") - F.col("row_total")).alias("non_zero"),
             F.count(F.lit(1)).alias("values"),
         )
     )
     by_label = (
         cells.groupBy("featureIndex", label)
         .agg(F.sum("observed").alias("present"))
-        .join(small_labels, label)
+        .join(labels, label)
         .groupBy("featureIndex")
         .agg(
             F.sum("present").alias("present"),
             F.sum(F.col("present") * F.col("present") / F.col("label_total")).alias("share"),
+            total,
+            labels_seen,
         )
     )
-    absent = total - F.col("present")
+    absent = F.col("total") - F.col("present")
     zero_row = F.when(
-        absent > 0, total / absent * (total - 2 * F.col("present") + F.col("share")) - absent
+        absent > 0, F.col("total") / absent * (F.col("total") - 2 * F.col("present") + F.col("share")) - absent
     ).otherwise(F.lit(0.0))
     distinct = F.col("values") + F.when(absent > 0, 1).otherwise(0)
     return by_value.join(by_label, "featureIndex").select(
         "featureIndex",
         (F.col("non_zero") + zero_row).alias("statistic"),
-        ((distinct - 1) * (label_count - 1)).cast("int").alias("degreesOfFreedom"),
+        ((distinct - 1) * (F.col("labels") - 1)).cast("int").alias("degreesOfFreedom"),
     )
 
 
+def _label_totals(vectors: DataFrame, label: str) -> DataFrame:
+    """Rows per label, with the number of rows and of labels on each row."""
+    totals = vectors.groupBy(label).agg(F.count(F.lit(1)).cast("double").alias("label_total"))
+    total = totals.agg(F.sum("label_total")).scalar()
+    labels = totals.agg(F.count(F.lit(1))).scalar()
+    return totals.withColumn("total", total).withColumn("labels", labels)
+
+
 def feature_chi2_test(vectors: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
     """MLlib's test with p-values: `featureIndex, pValue, degreesOfFreedom, statistic`.
 

@@ -18,6 +18,8 @@ from termlift.operators.tuning import (
     tune_with_random_split,
 )
 
+from termlift.plans.scale import packed
+
 
 @dataclass(frozen=True)
 class Tuned:
@@ -30,7 +32,7 @@ class Tuned:
 
 def tuned_classifier(vectors: DataFrame, key: str, grid: Grid = Grid(), parallelism: int = 1) -> Tuned:
     """Split by key, tune on the validation part, refit on train and validation, score the test part."""
-    parts = stable_split(vectors, key).select("part", "label", "features").persist()
+    parts = stable_split(packed(vectors), key).select("part", "label", "features").persist()
     train, validation, test = (parts.filter(parts.part == name).drop("part") for name in ("train", "validation", "test"))
     metrics = tune_on_parts(train, validation, grid, parallelism)
     model = fit_point(union_all(train, validation), best_point(metrics), parallelism)
@@ -43,7 +45,7 @@ def randomly_tuned_classifier(
     vectors: DataFrame, grid: Grid = Grid(), seed: int = SEED, parallelism: int = 1
 ) -> Tuned:
     """The same by random splits: the validation rows are merged back and drawn again by the tuner."""
-    data = vectors.select("label", "features").persist()
+    data = packed(vectors).select("label", "features").persist()
     train, validation, test = random_split(data, WEIGHTS, seed)
     ratio = WEIGHTS[0] / (WEIGHTS[0] + WEIGHTS[1])
     tuned = tune_with_random_split(union_all(train, validation), grid, ratio, seed, parallelism)

@@ -49,7 +49,7 @@ def build_features(
     to_terms = PipelineModel(list(term_stages(stop_words)))
     fitted = source if fit_on is None else spread(fit_on)
     corpus = written(corpus_counts(to_terms.transform(fitted)), "corpus_counts")
-    vocab = written(vocabulary(corpus, size, min_documents), "vocabulary")
+    vocab = vocabulary(corpus, size, min_documents)
     to_vectors = PipelineModel([*to_terms.stages, *tfidf_stages(vocab)])
     keep = [column for column in reviews.columns if column != "reviewText"]
     vectors = written(to_vectors.transform(source).select(*keep, "features"), "vectors")

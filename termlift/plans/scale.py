@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # A broadcast table of this many short rows stays in the tens of megabytes.
 BROADCAST_ROWS = 100_000
 
+# Fewer rows than this per task leave an iterative fit dominated by task overhead.
+TRAINING_ROWS = 20_000
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -63,6 +66,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if within(df, max_rows) else df
 
 
+def packed(df: DataFrame, rows_per_task: int = TRAINING_ROWS) -> DataFrame:
+    """Merge partitions until they hold about `rows_per_task` rows, without a shuffle.
+
+    An iterative fit runs a job over all partitions in every iteration, so many
+    near-empty ones cost more than the arithmetic. Partitions that hold more
+    rows than that, as on every large table, stay as they are. Counting is an
+    action: give it a written table.
+    """
+    wanted = max(1, -(-df.count() // rows_per_task))
+    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin the rows if the scan yields fewer partitions than there are cores.
 
