@@ -243,7 +243,7 @@ def feature_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     model = features.feature_pipeline(STOP, 1 << 18, settings.MIN_DOCUMENTS).fit(reviews)
     vocab = features.vocabulary_of(model.stages[2], reviews)
     weights = explode_vector(model.transform(reviews), "features", "doc_id", "label")
-    return weights.join(F.broadcast(vocab), "featureIndex").select(
+    return weights.join(checked_broadcast(vocab, 1 << 18), "featureIndex").select(
         "doc_id", "label", "term", rounded(F.col("weight")).alias("weight")
     )
 
@@ -390,7 +390,9 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     train.unpersist()
     path = scratch_path(spark, "model")
     save_model(model, path)
-    return tuning.best_params(load_model(path), test)
+    before = classify.score(model, test, "doc_id")
+    after = classify.score(load_model(path), test, "doc_id").withColumnRenamed("prediction", "reloaded")
+    return before.join(after, "doc_id").select("doc_id", (F.col("prediction") == F.col("reloaded")).alias("same"))
 
 
 QUERIES = {

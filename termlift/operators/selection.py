@@ -87,10 +87,9 @@ def feature_chi2_test(vectors: DataFrame, features: str = "features", label: str
 def rank_features(tested: DataFrame, vocab: DataFrame, k: int) -> DataFrame:
     """Terms of the k largest statistics, best first: `featureIndex, term, statistic, ...`.
 
-    `vocab` has `featureIndex, term`, as many rows as the vocabulary size.
+    Both tables have at most one row per vocabulary entry.
     """
-    named = tested.join(F.broadcast(vocab.select("featureIndex", "term")), "featureIndex")
-    return top_rows(named, k, "statistic")
+    return top_rows(tested.join(vocab.select("featureIndex", "term"), "featureIndex"), k, "statistic")
 
 
 def select_by_statistic(tested: DataFrame, k: int) -> DataFrame:

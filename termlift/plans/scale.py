@@ -7,9 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A broadcast table of this many short rows stays in the tens of megabytes.
+# A table within both bounds may be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Fewer rows than this per task leave an iterative fit dominated by task overhead.
 TRAINING_ROWS = 20_000
@@ -51,17 +53,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def within(df: DataFrame, max_rows: int) -> bool:
-    """True if `df` has at most `max_rows` rows; stops counting just beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if a table of strings and numbers is within both bounds; stops reading just beyond the first.
+
+    The check is an action: give it a scan or another cheap plan.
+    """
+    size = F.lit(0)
+    for field in df.schema:
+        width = F.octet_length(field.name) if field.dataType == T.StringType() else F.lit(8)
+        size = size + F.coalesce(width, F.lit(0))
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+    return seen.rows <= max_rows and (seen.bytes or 0) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only if the row count is proven small.
+    """Hint a broadcast only if the table is proven small.
 
-    Beyond the bound the table comes back without a hint, so the join shuffles
-    and adaptive execution may split its skewed partitions. The check is an
-    action: give it a scan or another cheap plan.
+    Beyond the bounds the table comes back without a hint, so the join shuffles
+    and adaptive execution may split its skewed partitions.
     """
     return F.broadcast(df) if within(df, max_rows) else df
 
@@ -83,6 +92,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A few small files would otherwise be tokenised on a few cores. Inputs with
     enough splits, which is every large one, pass through without a shuffle.
+    Give it a scan with at most filters and projections: asking for the
+    partitions of a plan with a shuffle runs that shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
