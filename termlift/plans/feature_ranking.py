@@ -18,6 +18,7 @@ from termlift.operators.features import (
     vocabulary,
 )
 from termlift.operators.selection import feature_chi2, rank_features
+from termlift.operators.tokens import add_terms
 from termlift.plans.scale import spread, written
 
 
@@ -41,20 +42,22 @@ def build_features(
 
     The texts are read twice: once for the vocabulary with its weights, once
     for the vectors. The vectors are written with every column of `reviews` but
-    the text, and the labels are counted on that table.
+    the text, and the labels are counted on that table. Both passes split the
+    texts by SQL expressions; the model does the same by MLlib stages, so that
+    it can be saved and applied to raw texts.
     By default all rows make the vocabulary and weights. To keep test rows out
     of them, pass the training rows as `fit_on`.
     """
-    source = spread(reviews)
-    to_terms = PipelineModel(list(term_stages(stop_words)))
-    fitted = source if fit_on is None else spread(fit_on)
-    corpus = written(corpus_counts(to_terms.transform(fitted)), "corpus_counts")
+    documents = add_terms(spread(reviews), stop_words=stop_words)
+    fitted = documents if fit_on is None else add_terms(spread(fit_on), stop_words=stop_words)
+    corpus = written(corpus_counts(fitted), "corpus_counts")
     vocab = vocabulary(corpus, size, min_documents)
-    to_vectors = PipelineModel([*to_terms.stages, *tfidf_stages(vocab)])
+    weighting = tfidf_stages(vocab)
     keep = [column for column in reviews.columns if column != "reviewText"]
-    vectors = written(to_vectors.transform(source).select(*keep, "features"), "vectors")
+    vectors = written(PipelineModel(list(weighting)).transform(documents).select(*keep, "features"), "vectors")
     indexer = label_indexer(vectors)
-    return Features(PipelineModel([*to_vectors.stages, indexer]), vocab, indexer.transform(vectors))
+    model = PipelineModel([*term_stages(stop_words), *weighting, indexer])
+    return Features(model, vocab, indexer.transform(vectors))
 
 
 def feature_ranking(features: Features, k: int = VOCABULARY_SIZE) -> DataFrame:

@@ -57,10 +57,13 @@ def rejected(parsed: DataFrame) -> DataFrame:
     )
 
 
-def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Tolerant scan: `category`, `reviewText` of the usable lines."""
-    parsed = parse_lines(read_lines(spark, path))
-    return usable(parsed.filter("parsed").select("category", "reviewText"))
+def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
+    """Tolerant scan: the schema's fields of the usable lines.
+
+    Another schema may add fields, such as a key, to `category` and `reviewText`.
+    """
+    parsed = parse_lines(read_lines(spark, path), schema)
+    return usable(parsed.filter("parsed").select(*schema.names))
 
 
 def read_reviews_json(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:

@@ -79,9 +79,10 @@ def test_features_equal_mllibs(spark, reviews):
     right = right.select("doc_id", "label", "term", F.col("weight").alias("w2"))
     both = left.join(right, ["doc_id", "label", "term"], "full")
     assert both.filter("w1 is null or w2 is null or abs(w1 - w2) > 1e-9").count() == 0
-    assert ours.model.transform(reviews).select("doc_id", "label").exceptAll(
-        ours.vectors.select("doc_id", "label")
-    ).count() == 0
+    again = ours.model.transform(reviews).select("doc_id", F.col("label").alias("l"), F.col("features").alias("f"))
+    pairs = ours.vectors.join(again, "doc_id")
+    assert pairs.count() == reviews.count()
+    assert pairs.filter("label != l or features != f").count() == 0
 
 
 def test_fitting_on_some_rows_keeps_the_rest_out(spark):
