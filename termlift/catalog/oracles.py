@@ -229,6 +229,7 @@ ORACLES = {
         WITH {_SCALED_CTES}
         SELECT doc_id, featureIndex, round(s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)), 6) AS weight FROM scaled""",
     "stable_split": f"WITH {_PARTS} SELECT * FROM parts",
+    "model_roundtrip": f"WITH {_PARTS} SELECT doc_id, true AS same FROM parts WHERE part = 'test'",
     "train_val_union": f"WITH {_PARTS} SELECT doc_id, category FROM parts WHERE part IN ('train', 'validation')",
     "param_grid": f"""
         WITH {_STATISTIC_CTES}, chosen AS ({_GRID})

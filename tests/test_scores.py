@@ -159,6 +159,11 @@ def test_size_checks(spark):
     numbers = spark.range(10)
     assert within(numbers, 10)
     assert not within(numbers, 9)
+    assert within(numbers, 10, max_bytes=80)
+    assert not within(numbers, 10, max_bytes=79)
+    words = rows(spark, [("éé",), (None,)], "word string")
+    assert within(words, 2, max_bytes=4)
+    assert not within(words, 2, max_bytes=3)
     hinted = checked_broadcast(numbers, 10)._jdf.queryExecution().logical().toString()
     plain = checked_broadcast(numbers, 9)._jdf.queryExecution().logical().toString()
     assert "hint" in hinted.lower()
