@@ -12,8 +12,12 @@ LINE_TERMS = 500_000
 
 
 def clean_terms(scored: DataFrame) -> DataFrame:
-    """Distinct non-empty cleaned terms of a table with `term`."""
-    return scored.select(clean_term(F.col("term")).alias("term")).filter("term != ''").distinct()
+    """Distinct non-empty cleaned terms of a table with `term`.
+
+    A term cleans to nothing just if it has no ASCII letter or digit, so the
+    test needs no second cleaning.
+    """
+    return scored.filter(F.col("term").rlike("[A-Za-z0-9]")).select(clean_term(F.col("term")).alias("term")).distinct()
 
 
 def merged_dictionary(scored: DataFrame) -> DataFrame:

@@ -10,9 +10,6 @@ REVIEW_SCHEMA = T.StructType(
     [T.StructField("category", T.StringType()), T.StructField("reviewText", T.StringType())]
 )
 
-_BAD = "_corrupt_record"
-_STRICT = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD, "allowSingleQuotes": "false"}
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines in column `value`, from any path Spark can read."""
@@ -22,14 +19,23 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def parse_lines(lines: DataFrame, schema: T.StructType = REVIEW_SCHEMA, line: str = "value") -> DataFrame:
     """Parse one JSON object per line and mark the lines that are none.
 
-    Adds the schema's fields and `parsed`. Blank lines, broken JSON and JSON
-    that is not an object get `parsed = false` and null fields.
+    Adds the schema's fields and `parsed`. Blank lines, broken JSON, JSON that
+    is not an object and text after the object give `parsed = false` and null
+    fields. Alone, Spark's parser stops at the end of the first object; read as
+    the only element of an array, a line must be one object and nothing else.
+    Passing the result through a generator keeps later filters from being
+    pushed below it, where each would parse the line again.
     """
-    with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    record = F.from_json(F.col(line), with_bad, _STRICT)
-    fields = [F.col("_record")[field.name].alias(field.name) for field in schema.fields]
-    parsed = F.col("_record").isNotNull() & F.col("_record")[_BAD].isNull()
-    return lines.withColumn("_record", record).select(*lines.columns, *fields, parsed.alias("parsed"))
+    text = F.col(line)
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    records = F.from_json(wrapped, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+    closed = F.endswith(F.rtrim(text, F.lit(" \t\r\n")), F.lit("}"))
+    one = F.array(F.struct(records.alias("_records"), closed.alias("_closed")))
+    found = lines.select("*", F.inline(one))
+    first = F.get("_records", F.lit(0))
+    parsed = F.coalesce((F.size("_records") == 1) & first.isNotNull() & F.col("_closed"), F.lit(False))
+    fields = [F.when(F.col("parsed"), first[field.name]).alias(field.name) for field in schema.fields]
+    return found.withColumn("parsed", parsed).select(*lines.columns, *fields, "parsed")
 
 
 def json_field(line: Column, field: str) -> Column:

@@ -93,6 +93,16 @@ def test_fitting_on_some_rows_keeps_the_rest_out(spark):
     assert built.vectors.count() == 4
 
 
+def test_vectors_are_built_once(reviews):
+    documents = add_terms(reviews)
+    vocab = vocabulary(counts.corpus_counts(documents), size=10)
+    counting, weighting = tfidf_stages(vocab)
+    weights = explode_vector(weighting.transform(counting.transform(documents)), "features", "doc_id")
+    plan = weights._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert weights.count() > 0
+
+
 def test_label_ties_go_by_label(spark):
     table = rows(spark, [("b",), ("a",), ("c",), ("c",)], "category string")
     assert {row.category: row.label for row in label_index(table).collect()} == {"c": 0.0, "a": 1.0, "b": 2.0}

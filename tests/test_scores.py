@@ -11,7 +11,9 @@ from termlift.operators.dictionary import clean_terms, dictionary_lines, merged_
 from termlift.operators.topk import top_lists, top_terms
 from termlift.plans.scale import checked_broadcast, scratch_path, spread, within
 from termlift.plans.term_report import term_report, write_term_report
+from termlift.operators.tokens import add_terms, explode_terms
 from termlift.sinks.text import category_lines, read_category_lines, write_dictionary
+from termlift.sources.reviews import read_reviews
 from termlift.sources.tables import rows
 
 FREQ = "category string, term string, freq_ct bigint"
@@ -177,12 +179,24 @@ def test_spread_leaves_wide_inputs_alone(spark):
     assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
 
 
-def test_texts_are_split_once(spark, reviews):
-    from termlift.operators.tokens import explode_terms
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
 
-    plan = counts.term_freq(explode_terms(reviews, "category"))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("split(") == 1
-    assert "doc_id" not in counts.term_freq(explode_terms(reviews, "category"))._jdf.queryExecution().executedPlan().toString()
+
+def test_texts_are_split_once_and_other_columns_not_read(reviews):
+    freq = counts.term_freq(explode_terms(reviews, "category"))
+    assert _plan(freq).count("split(") == 1
+    assert "doc_id" not in freq._jdf.queryExecution().executedPlan().toString()
+    assert _plan(counts.corpus_counts(add_terms(reviews))).count("split(") == 1
+    assert _plan(clean_terms(freq)).count("regexp_replace(") == 1
+
+
+def test_lines_are_parsed_once(spark):
+    path = scratch_path(spark, "one_line")
+    rows(spark, [('{"category":"A","reviewText":"good stuff"}',)], "value string").write.text(path)
+    freq = counts.term_freq(explode_terms(read_reviews(spark, path), "category"))
+    assert _plan(freq).count("from_json(") == 1
+    assert freq.count() == 2
 
 
 def test_clean_terms_are_distinct(spark):

@@ -26,6 +26,12 @@ LINES = [
     "{'category':'A','reviewText':'single'}",
     '{"category":"A"',
     '{"category":"C","other":{"x":[1]},"reviewText":"more"}',
+    '{"category":"D","reviewText":"spaces after"} \t',
+    '{"category":"A","reviewText":"t"} extra',
+    '{"category":"A","reviewText":"t"} {"b":2}',
+    '{"category":"A","reviewText":"t"},{"category":"A","reviewText":"t"}',
+    '{"category":"A","reviewText":"t"}]',
+    "5",
 ]
 
 
@@ -38,12 +44,12 @@ def lines_path(spark):
 
 def test_tolerant_parse_keeps_usable_lines(spark, lines_path):
     kept = {tuple(row) for row in read_reviews(spark, lines_path).collect()}
-    assert kept == {("A", "Good stuff"), ("7", "no cat"), ("C", "more")}
+    assert kept == {("A", "Good stuff"), ("7", "no cat"), ("C", "more"), ("D", "spaces after")}
 
 
 def test_rejects_are_counted(spark, lines_path):
     counts = rejected(parse_lines(spark.read.text(lines_path))).first().asDict()
-    assert counts == {"lines": 11, "unparsable": 6, "no_category": 1, "no_text": 1, "kept": 3}
+    assert counts == {"lines": 17, "unparsable": 11, "no_category": 1, "no_text": 1, "kept": 4}
 
 
 def test_json_scan(spark, lines_path):
@@ -51,6 +57,13 @@ def test_json_scan(spark, lines_path):
     assert {"A", "7", "C"} <= kept
 
 
+def test_unparsable_lines_have_no_fields(spark, lines_path):
+    bad = parse_lines(spark.read.text(lines_path)).filter("not parsed")
+    assert bad.filter("category is not null or reviewText is not null").count() == 0
+    nothing = parse_lines(rows(spark, [(None,)], "value string")).first()
+    assert (nothing.category, nothing.parsed) == (None, False)
+
+
 def test_json_field(spark):
     found = rows(spark, [('{"a": 1}',), ("{}",)], "line string").select(json_field(F.col("line"), "a").alias("a"))
     assert [row.a for row in found.collect()] == ["1", None]
