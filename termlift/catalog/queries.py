@@ -18,7 +18,7 @@ from termlift.operators.tokens import add_terms, drop_stop_words, explode_terms
 from termlift.operators.topk import top_lists, top_terms
 from termlift.plans.classifier import randomly_tuned_classifier, tuned_classifier
 from termlift.plans.feature_ranking import Features, build_features
-from termlift.plans.scale import checked_broadcast, scratch_path, spread, written
+from termlift.plans.scale import checked_broadcast, packed, scratch_path, spread, written
 from termlift.plans.term_report import counted, term_report
 from termlift.sinks.models import load_model, save_model
 from termlift.sinks.text import category_lines, read_category_lines, report_lines, write_scores
@@ -342,7 +342,7 @@ def param_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     vectors = _vectors(spark, sf)
-    parts = split.stable_split(vectors, "doc_id")
+    parts = split.stable_split(packed(vectors), "doc_id")
     return parts.filter("part != 'test'"), parts.filter("part = 'test'")
 
 
