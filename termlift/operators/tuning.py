@@ -124,7 +124,7 @@ def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, paralleli
 
 
 def best_point(metrics: DataFrame) -> Point:
-    """The point with the highest F1; the first in grid order wins a tie."""
+    """The point with the highest F1; ties go to fewer features, scaling, lower penalty and fewer iterations."""
     order = (F.desc("f1"), F.asc("numTopFeatures"), F.desc("withStd"), F.asc("regParam"), F.asc("maxIter"))
     best = metrics.orderBy(*order).first()
     return Point(best.numTopFeatures, best.withStd, best.regParam, best.maxIter)

@@ -68,7 +68,7 @@ def test_shared_tuning_equals_whole_pipelines(parts):
         assert evaluate.f1_evaluator().evaluate(model.transform(validation)) == pytest.approx(f1, abs=1e-9)
 
 
-def test_best_point_prefers_f1_then_grid_order(spark):
+def test_best_point_prefers_f1_then_the_cheaper_point(spark):
     schema = "numTopFeatures int, withStd boolean, regParam double, maxIter int, f1 double"
     metrics = rows(spark, [(20, False, 0.1, 5, 0.9), (20, True, 0.1, 5, 0.9), (40, True, 0.1, 5, 0.8)], schema)
     assert tuning.best_point(metrics) == tuning.Point(20, True, 0.1, 5)
