@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,24 +15,22 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Fewer rows than this per task leave an iterative fit dominated by task overhead.
 TRAINING_ROWS = 20_000
 
-_local_scratch: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: `spark.checkpoint.dir`, which executors share.
+    """Folder for this application's intermediate tables, which all executors share.
 
-    Only a single-machine session without that setting gets a temporary folder;
-    on a cluster a local folder would not be readable from other machines.
+    It lies below `spark.checkpoint.dir`, else the folder given to
+    `SparkContext.setCheckpointDir`, else the warehouse.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/") + "/termlift"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="termlift-")
-    return _local_scratch[app]
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/termlift/{context.applicationId}"
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. DataFrames that still read them can no longer run."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
