@@ -191,8 +191,9 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that the rules keep, with their own columns.
 
-    The texts are measured twice, once for the thresholds and once for the
-    verdict, which costs less than a shuffle of the texts and needs no key.
+    The rows are written once with their counts, so the texts are measured once
+    and no key is needed to join verdicts back.
     """
-    limits = thresholds(features(docs.select("lang", "source", "text")))
-    return judged(features(docs), limits).filter("q_kept").select(*(f"`{name}`" for name in docs.columns))
+    measured = written(features(docs), "quality_rows")
+    kept = judged(measured, thresholds(measured)).filter("q_kept")
+    return kept.select(*(F.col(f"`{name}`") for name in docs.columns))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlift.llm import bpe, licenses, packing, quality, sharding, token_counts
+from termlift.llm import bpe, ctw, lattice, licenses, minhash, packing, quality, sharding, suffix_dedup, token_counts
 from termlift.sources.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,10 +16,18 @@ def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return table(spark, sf, "documents").select(*columns)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.removal_report(_documents(spark, sf, "doc_id", "text"))
+
+
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.encoding_digests(_documents(spark, sf, "doc_id", "text"), bpe.read_definition(TOKENIZER))
 
 
+def op3_ctw(spark: SparkSession, sf: str) -> DataFrame:
+    return ctw.scores(_documents(spark, sf, "doc_id", "text"))
+
+
 def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shard(_documents(spark, sf, "doc_id", "text"))
     return placed.select(
@@ -31,10 +39,18 @@ def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf, "doc_id", "text"))
+
+
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_documents(spark, sf, "doc_id", "text"), bpe.read_definition(TOKENIZER))
 
 
+def op7_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf, "text"), bpe.read_definition(TOKENIZER))
 
@@ -51,9 +67,13 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
+    "op3_ctw": op3_ctw,
     "op4_sharding": op4_sharding,
+    "op5_minhash": op5_minhash,
     "op6_packing": op6_packing,
+    "op7_lattice": op7_lattice,
     "op8_token_counts": op8_token_counts,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
