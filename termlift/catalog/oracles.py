@@ -97,17 +97,27 @@ _STATISTIC_CTES = f"""{_FEATURE_CTES},
       FROM row_totals CROSS JOIN labels_n CROSS JOIN total),
     statistics AS (
       SELECT featureIndex,
-             round(sum((coalesce(o, 0) - e) * (coalesce(o, 0) - e) / e), 6) AS statistic,
+             sum((coalesce(o, 0) - e) * (coalesce(o, 0) - e) / e) AS exact, round(exact, 6) AS statistic,
              ((count(DISTINCT value) - 1) * ((SELECT count(*) FROM labels_n) - 1))::INTEGER AS degreesOfFreedom
       FROM expected LEFT JOIN observed USING (featureIndex, value, category)
       GROUP BY featureIndex),
     ranked AS (
       SELECT featureIndex, term, statistic FROM statistics JOIN vocab USING (featureIndex)
-      ORDER BY statistic DESC, term LIMIT {settings.SELECTED_FEATURES}),
+      ORDER BY statistic DESC, term LIMIT {settings.VOCABULARY_SIZE}),
     selected AS (
       SELECT featureIndex, statistic, degreesOfFreedom FROM statistics
       ORDER BY statistic DESC, featureIndex LIMIT {settings.SELECTED_FEATURES})"""
 
+# Even degrees of freedom 2m: the tail is a sum of m Poisson terms.
+_P_VALUE_CTES = f"""
+    documents AS (SELECT conv_id || ':' || turn AS doc_id, role AS lang, text FROM conversations),
+    {_STATISTIC_CTES},
+    p_values AS (
+      SELECT featureIndex, statistic, degreesOfFreedom,
+             round(CASE WHEN exact <= 0 THEN 1.0 ELSE least(1.0, list_sum(list_transform(range(0, degreesOfFreedom // 2),
+               lambda i: exp(i * ln(exact / 2) - exact / 2 - lgamma(i + 1))))) END, 6) AS pValue
+      FROM statistics WHERE degreesOfFreedom > 0)"""
+
 _SCALED_CTES = f"""{_FEATURE_CTES},
     spread AS (
       SELECT featureIndex,
@@ -115,16 +125,20 @@ _SCALED_CTES = f"""{_FEATURE_CTES},
       FROM weights GROUP BY featureIndex),
     scaled AS (SELECT doc_id, featureIndex, w / std AS s FROM weights JOIN spread USING (featureIndex) WHERE std > 0)"""
 
-_BUCKET = "('0x' || substr(md5('42:' || doc_id::VARCHAR), 1, 8))::BIGINT % 1000"
+_PLACE = "('0x' || substr(md5('42:' || doc_id::VARCHAR), 1, 8))::BIGINT"
 _PARTS = f"""
     parts AS (
       SELECT doc_id, lang AS category,
-             CASE WHEN {_BUCKET} < 800 THEN 'train' WHEN {_BUCKET} < 900 THEN 'validation' ELSE 'test' END AS part
+             CASE WHEN {_PLACE} < 3435973836 THEN 'train' WHEN {_PLACE} < 3865470566 THEN 'validation' ELSE 'test' END AS part
       FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL)"""
 
-_SIZES = """
-    SELECT lang AS category, count(*) AS n, sum(length(text))::BIGINT AS chars, max(md5(text)) AS last_digest
-    FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang"""
+_LABELS = """
+    labelled AS (
+      SELECT category, (row_number() OVER (ORDER BY count(*) DESC, category) - 1)::DOUBLE AS label FROM parts GROUP BY category)"""
+
+_RECORDS = """
+    SELECT doc_id, lang AS category, md5(text) AS digest
+    FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL"""
 
 
 def _f1(pairs: str) -> str:
@@ -160,8 +174,8 @@ ORACLES = {
         SELECT 2 * d.n + p.n AS lines, p.n AS unparsable, 2 * unlabelled AS no_category,
                d.n - unlabelled + empty AS no_text, d.n - unlabelled - empty AS kept
         FROM d, p""",
-    "text_scan": _SIZES,
-    "json_scan": _SIZES,
+    "text_scan": _RECORDS,
+    "json_scan": _RECORDS,
     "stopword_table": f"""
         SELECT term, count(*) AS n FROM ({_exploded(TERM_DELIMITERS, "lang")})
         WHERE term IN {_STOP} GROUP BY term""",
@@ -171,6 +185,7 @@ ORACLES = {
           SELECT doc_id, list_filter(regexp_split_to_array(lower(text), {_quoted(FEATURE_DELIMITERS)}),
                                      lambda x: length(x) >= 2 AND x NOT IN {_STOP}) AS terms
           FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL)""",
+    "stopword_file": f"WITH {_freq_ctes()} SELECT * FROM freq",
     "stopword_anti_join": f"""
         WITH stop(term) AS (VALUES {", ".join(f"({_quoted(word)})" for word in settings.STOP_WORDS)}),
         exploded AS ({_exploded(TERM_DELIMITERS, "lang")})
@@ -197,9 +212,9 @@ ORACLES = {
     "merged_dictionary": f"WITH {_freq_ctes()} {_DICTIONARY} ORDER BY term",
     "category_lines": f"""
         WITH {_top_ctes()}, dictionary AS ({_DICTIONARY})
-        SELECT 0 AS section, category, 0::BIGINT AS part, line FROM ({_LINES})
+        SELECT 0 AS section, category, line FROM ({_LINES})
         UNION ALL
-        SELECT 1, NULL, 0, string_agg(term, ' ' ORDER BY term) FROM dictionary""",
+        SELECT 1, NULL, term FROM dictionary""",
     "report_from_json": f"WITH {_top_ctes()} {_LINES}",
     "text_sink_roundtrip": f"WITH {_top_ctes()} SELECT * FROM top",
     "doc_freq": f"WITH {_FEATURE_CTES} SELECT term, n, df FROM frequent",
@@ -212,17 +227,25 @@ ORACLES = {
         labels AS (SELECT category, (row_number() OVER (ORDER BY count(*) DESC, category) - 1)::DOUBLE AS label
                    FROM docs GROUP BY category)
         SELECT doc_id, label, term, round(count(*) * ln(((SELECT count(*) FROM docs) + 1.0) / (df + 1.0)), 6) AS weight
-        FROM tokens JOIN frequent USING (term) JOIN labels USING (category) GROUP BY doc_id, label, term, df
+        FROM tokens JOIN vocab USING (term) JOIN labels USING (category) GROUP BY doc_id, label, term, df
         HAVING df < (SELECT count(*) FROM docs)""",
+    "count_vectorizer": f"""
+        WITH {_FEATURE_CTES},
+        cut AS (SELECT CASE WHEN count(*) >= {settings.VOCABULARY_SIZE} THEN min(n) ELSE 0 END AS least FROM vocab)
+        SELECT term, n FROM vocab WHERE n > (SELECT least FROM cut)""",
     "label_index": """
         SELECT category, n, (row_number() OVER (ORDER BY n DESC, category ASC) - 1)::DOUBLE AS label
         FROM (SELECT lang AS category, count(*) AS n FROM documents
               WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang)""",
-    "feature_chi2": f"WITH {_STATISTIC_CTES} SELECT * FROM statistics",
-    "feature_chi2_test": f"WITH {_STATISTIC_CTES} SELECT * FROM statistics",
+    "feature_chi2": f"WITH {_STATISTIC_CTES} SELECT featureIndex, statistic, degreesOfFreedom FROM statistics",
+    "feature_chi2_test": f"WITH {_P_VALUE_CTES} SELECT * FROM p_values",
+    "feature_p_values": f"WITH {_P_VALUE_CTES} SELECT * FROM p_values",
+    "select_by_pvalue": f"""
+        WITH {_P_VALUE_CTES} SELECT * FROM p_values ORDER BY pValue, featureIndex LIMIT {settings.SELECTED_FEATURES}""",
     "feature_chi2_rank": f"WITH {_STATISTIC_CTES} SELECT term, statistic FROM ranked",
     "score_sink_roundtrip": f"""
         WITH {_STATISTIC_CTES} SELECT term || chr(9) || printf('%.6f', statistic) AS line FROM ranked""",
+    "top_feature": f"WITH {_STATISTIC_CTES} SELECT term, statistic FROM ranked LIMIT 1",
     "select_by_statistic": f"WITH {_STATISTIC_CTES} SELECT * FROM selected",
     "scaled_features": f"WITH {_SCALED_CTES} SELECT doc_id, featureIndex, round(s, 6) AS weight FROM scaled",
     "l2_features": f"""
@@ -230,6 +253,19 @@ ORACLES = {
         SELECT doc_id, featureIndex, round(s / sqrt(sum(s * s) OVER (PARTITION BY doc_id)), 6) AS weight FROM scaled""",
     "stable_split": f"WITH {_PARTS} SELECT * FROM parts",
     "model_roundtrip": f"WITH {_PARTS} SELECT doc_id, true AS same FROM parts WHERE part = 'test'",
+    "random_split": """
+        SELECT doc_id, lang AS category, true AS same FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL""",
+    "svm_predictions": f"""
+        WITH {_PARTS}, {_LABELS}
+        SELECT doc_id, label, true AS agrees FROM parts JOIN labelled USING (category) WHERE part = 'test'""",
+    "tuning_metrics": """
+        SELECT 2000 AS numTopFeatures, withStd, regParam::DOUBLE AS regParam, maxIter, true AS same
+        FROM (VALUES (true), (false)) s(withStd) CROSS JOIN (VALUES (0.01), (0.1), (1.0)) g(regParam)
+        CROSS JOIN (VALUES (5), (10)) i(maxIter)""",
+    "best_params": f"""
+        WITH {_PARTS}, {_LABELS}, guessed AS ({_f1(f"""
+          SELECT label, 0.0::DOUBLE AS prediction FROM parts JOIN labelled USING (category) WHERE part = 'test'""")})
+        SELECT rows, f1 AS guess_f1, true AS beats_guess, true AS is_best FROM guessed""",
     "train_val_union": f"WITH {_PARTS} SELECT doc_id, category FROM parts WHERE part IN ('train', 'validation')",
     "param_grid": f"""
         WITH {_STATISTIC_CTES}, chosen AS ({_GRID})

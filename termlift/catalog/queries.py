@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import astuple
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +17,15 @@ from termlift.operators import classify, counts, evaluate, features, selection,
 from termlift.operators.chi2 import chi2_scores, chi2_scores_by_join
 from termlift.operators.dictionary import clean_terms, merged_dictionary
 from termlift.operators.tokens import add_terms, drop_stop_words, explode_terms
-from termlift.operators.topk import top_lists, top_terms
-from termlift.plans.classifier import randomly_tuned_classifier, tuned_classifier
+from termlift.operators.topk import top_lists, top_rows, top_terms
+from termlift.plans.classifier import tuned_classifier
 from termlift.plans.feature_ranking import Features, build_features
-from termlift.plans.scale import checked_broadcast, packed, scratch_path, spread, written
+from termlift.plans.scale import checked_broadcast, scratch_path, spread, written
 from termlift.plans.term_report import counted, term_report
 from termlift.sinks.models import load_model, save_model
-from termlift.sinks.text import category_lines, read_category_lines, report_lines, write_scores
+from termlift.sinks.text import category_lines, read_category_lines, report_lines, write_report, write_scores
 from termlift.sources.reviews import (
+    REVIEW_SCHEMA,
     as_reviews,
     json_field,
     parse_lines,
@@ -30,8 +33,8 @@ from termlift.sources.reviews import (
     read_reviews_json,
     rejected,
 )
-from termlift.sources.stopwords import stop_word_table
-from termlift.sources.tables import table
+from termlift.sources.stopwords import read_stop_words, stop_word_table
+from termlift.sources.tables import rows, table
 
 STOP = list(settings.STOP_WORDS)
 
@@ -94,20 +97,19 @@ def _written_lines(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def _sizes(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("category").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.length("reviewText")).alias("chars"),
-        F.max(F.md5("reviewText")).alias("last_digest"),
-    )
+KEYED_SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), *REVIEW_SCHEMA.fields])
+
+
+def _digests(reviews: DataFrame) -> DataFrame:
+    return reviews.select("doc_id", "category", F.md5("reviewText").alias("digest"))
 
 
 def text_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return _sizes(read_reviews(spark, _written_lines(spark, sf)))
+    return _digests(read_reviews(spark, _written_lines(spark, sf), KEYED_SCHEMA))
 
 
 def json_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return _sizes(read_reviews_json(spark, _written_lines(spark, sf)))
+    return _digests(read_reviews_json(spark, _written_lines(spark, sf), KEYED_SCHEMA))
 
 
 def stopword_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,6 +137,13 @@ def stopword_anti_join(spark: SparkSession, sf: str) -> DataFrame:
     return counts.term_freq(drop_stop_words(exploded, stop_word_table(spark, STOP)))
 
 
+def stopword_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Pair counts with the stop words read from a file."""
+    path = scratch_path(spark, "stop_words")
+    stop_word_table(spark, STOP).write.text(path)
+    return counted(_reviews(spark, sf), read_stop_words(spark, path))
+
+
 def term_freq(spark: SparkSession, sf: str) -> DataFrame:
     return counts.term_freq(explode_terms(spread(_reviews(spark, sf)), "category", stop_words=STOP))
 
@@ -199,15 +208,13 @@ def dictionary(spark: SparkSession, sf: str) -> DataFrame:
 
 def report(spark: SparkSession, sf: str) -> DataFrame:
     made = term_report(_reviews(spark, sf), STOP, settings.TOP_TERMS)
-    lines = report_lines(made.top, written(made.dictionary, "dictionary"))
-    return lines.orderBy("section", "category", "part")
+    return report_lines(made.top, made.dictionary).orderBy("section", "category", "line")
 
 
 def text_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "category_lines")
-    lines = category_lines(topk_terms(spark, sf)).orderBy("category").select("line")
-    for _ in range(2):
-        lines.write.mode("overwrite").text(path)
+    stop_word_table(spark, STOP).write.mode("overwrite").text(path)
+    write_report(topk_terms(spark, sf), path)
     return read_category_lines(spark.read.text(path).withColumnRenamed("value", "line"))
 
 
@@ -238,16 +245,29 @@ def tfidf(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    """MLlib's own pipeline, with room for every term of the test tables in the vocabulary."""
+    """MLlib's own stages over the vocabulary whose ties are decided."""
     reviews = spread(_reviews(spark, sf))
-    model = features.feature_pipeline(STOP, 1 << 18, settings.MIN_DOCUMENTS).fit(reviews)
+    vectorizer, _ = features.tfidf_stages(_vocabulary(_with_terms(spark, sf)))
+    model = features.feature_pipeline(STOP, vectorizer).fit(reviews)
     vocab = features.vocabulary_of(model.stages[2], reviews)
     weights = explode_vector(model.transform(reviews), "features", "doc_id", "label")
-    return weights.join(checked_broadcast(vocab, 1 << 18), "featureIndex").select(
+    return weights.join(checked_broadcast(vocab), "featureIndex").select(
         "doc_id", "label", "term", rounded(F.col("weight")).alias("weight")
     )
 
 
+def count_vectorizer(spark: SparkSession, sf: str) -> DataFrame:
+    """What MLlib's estimator learns, without the terms whose count is that of the cut: ties there are open."""
+    documents = _with_terms(spark, sf)
+    model = features.count_vectorizer(settings.VOCABULARY_SIZE, settings.MIN_DOCUMENTS).fit(documents)
+    learnt = checked_broadcast(features.vocabulary_of(model, documents))
+    known = counts.corpus_counts(documents).join(learnt, "term").select("term", "n")
+    if len(model.vocabulary) < settings.VOCABULARY_SIZE:
+        return known
+    known = written(known, "learnt_terms")
+    return known.filter(F.col("n") > known.agg(F.min("n")).scalar())
+
+
 def term_counts(spark: SparkSession, sf: str) -> DataFrame:
     documents = _with_terms(spark, sf)
     counting, _ = features.tfidf_stages(_vocabulary(documents))
@@ -266,20 +286,42 @@ def feature_chi2(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_statistics(selection.feature_chi2(_vectors(spark, sf)))
 
 
+def _role_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns of conversations by role. Three roles make every number of degrees of freedom even."""
+    turns = table(spark, sf, "conversations").withColumn("turn_id", F.concat_ws(":", "conv_id", "turn"))
+    reviews = as_reviews(turns, "role", "text", "turn_id")
+    return build_features(reviews, STOP, settings.VOCABULARY_SIZE, settings.MIN_DOCUMENTS).vectors
+
+
+def _rounded_p_values(tested: DataFrame) -> DataFrame:
+    return _rounded_statistics(tested.filter("degreesOfFreedom > 0")).join(
+        tested.select("featureIndex", rounded(F.col("pValue")).alias("pValue")), "featureIndex"
+    )
+
+
 def feature_chi2_test(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_statistics(selection.feature_chi2_test(_vectors(spark, sf)))
+    return _rounded_p_values(selection.feature_chi2_test(_role_vectors(spark, sf)))
+
+
+def feature_p_values(spark: SparkSession, sf: str) -> DataFrame:
+    tested = selection.with_p_value(selection.feature_chi2(_role_vectors(spark, sf)))
+    return _rounded_p_values(written(tested, "p_values"))
 
 
 def _ranked(spark: SparkSession, sf: str) -> DataFrame:
     built = _features(spark, sf)
     tested = _rounded_statistics(selection.feature_chi2(built.vectors))
-    return selection.rank_features(tested, built.vocabulary, settings.SELECTED_FEATURES)
+    return selection.rank_features(tested, built.vocabulary, settings.VOCABULARY_SIZE)
 
 
 def feature_chi2_rank(spark: SparkSession, sf: str) -> DataFrame:
     return _ranked(spark, sf).select("term", "statistic")
 
 
+def top_feature(spark: SparkSession, sf: str) -> DataFrame:
+    return top_rows(feature_chi2_rank(spark, sf), 1, "statistic")
+
+
 def score_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "score_lines")
     write_scores(_ranked(spark, sf), path)
@@ -292,9 +334,12 @@ def select_by_statistic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def select_by_pvalue(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = _vectors(spark, sf)
-    selected = selection.pvalue_selector(settings.SELECTED_FEATURES).fit(vectors).transform(vectors)
-    return _long(selected, "selected")
+    """Selected features of the conversation turns, by p-values at six decimals."""
+    return top_lowest(feature_p_values(spark, sf), settings.SELECTED_FEATURES)
+
+
+def top_lowest(tested: DataFrame, k: int) -> DataFrame:
+    return tested.orderBy("pValue", "featureIndex").limit(k)
 
 
 def scaled_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -316,9 +361,16 @@ def stable_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf: str) -> DataFrame:
-    parts = split.random_split(_reviews(spark, sf).select("doc_id", "category"))
-    named = [part.withColumn("part", F.lit(name)) for part, name in zip(parts, split.PARTS)]
-    return split.union_all(split.union_all(named[0], named[1]), named[2])
+    """All parts together, and whether each row falls in the same part when the split is drawn again."""
+    reviews = written(_reviews(spark, sf).select("doc_id", "category"), "split_input")
+
+    def drawn(column: str) -> DataFrame:
+        parts = split.random_split(reviews)
+        named = [part.withColumn(column, F.lit(name)) for part, name in zip(parts, split.PARTS)]
+        return split.union_all(split.union_all(named[0], named[1]), named[2])
+
+    again = drawn("again").select("doc_id", "again")
+    return drawn("part").join(again, "doc_id").select("doc_id", "category", (F.col("part") == F.col("again")).alias("same"))
 
 
 def train_val_union(spark: SparkSession, sf: str) -> DataFrame:
@@ -342,16 +394,49 @@ def param_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 def _parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     vectors = _vectors(spark, sf)
-    parts = split.stable_split(packed(vectors), "doc_id")
+    parts = split.stable_split(vectors, "doc_id")
     return parts.filter("part != 'test'"), parts.filter("part = 'test'")
 
 
 def svm_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows with their label, and whether the prediction is the largest of margins computed here."""
     train, test = _parts(spark, sf)
+    model = _fitted(train)
+    scored = model.transform(test).select("doc_id", "label", "prediction", "normal")
+    return scored.select("doc_id", "label", "prediction").join(_largest_margin(model, scored), "doc_id").select(
+        "doc_id", "label", (F.col("prediction") == F.col("largest")).alias("agrees")
+    )
+
+
+def _fitted(train: DataFrame) -> PipelineModel:
     train.persist()
-    model = tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5), PARALLELISM)
-    train.unpersist()
-    return classify.score(model, test, "doc_id", "label")
+    try:
+        return tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5), PARALLELISM)
+    finally:
+        train.unpersist()
+
+
+def _largest_margin(model: PipelineModel, scored: DataFrame) -> DataFrame:
+    """Each row's class of largest margin, from the vectors' entries and every class's coefficients."""
+    machines = model.stages[-1].models
+    entries = [
+        (float(label), index, float(weight))
+        for label, machine in enumerate(machines)
+        for index, weight in enumerate(machine.coefficients.toArray())
+    ]
+    weights = rows(scored.sparkSession, entries, "class double, featureIndex int, coefficient double")
+    sums = (
+        explode_vector(scored, "normal", "doc_id")
+        .join(checked_broadcast(weights), "featureIndex")
+        .groupBy("doc_id", "class")
+        .agg(F.sum(F.col("weight") * F.col("coefficient")).alias("product"))
+    )
+    offsets = F.array(
+        *(F.struct(F.lit(float(label)).alias("class"), F.lit(machine.intercept).alias("offset")) for label, machine in enumerate(machines))
+    )
+    every = scored.select("doc_id", F.inline(offsets)).join(sums, ["doc_id", "class"], "left")
+    margin = F.coalesce("product", F.lit(0.0)) + F.col("offset")
+    return every.groupBy("doc_id").agg(F.max_by("class", margin).alias("largest"))
 
 
 def weighted_f1(spark: SparkSession, sf: str) -> DataFrame:
@@ -372,22 +457,41 @@ def weighted_f1_binary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 PARALLELISM = 4
-SMALL_GRID = tuning.Grid((settings.SELECTED_FEATURES,), (True,), (0.1, 1.0), (5,))
 
 
 def tuning_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return tuned_classifier(_vectors(spark, sf), "doc_id", SMALL_GRID, PARALLELISM).metrics
+    """The points tried, and whether the tuner's F1 is that of a pipeline fitted for the point alone."""
+    parts = split.stable_split(_vectors(spark, sf), "doc_id").select("part", "label", "features").persist()
+    try:
+        train, validation = (parts.filter(F.col("part") == name).drop("part") for name in split.PARTS[:2])
+        metrics = tuning.tune_on_parts(train, validation, tuning.Grid(), PARALLELISM)
+        alone = []
+        for row in metrics.collect():
+            point = tuning.Point(row.numTopFeatures, row.withStd, row.regParam, row.maxIter)
+            scored = tuning.fit_point(train, point, PARALLELISM).transform(validation)
+            f1 = evaluate.weighted_f1(scored.select("label", "prediction")).first().f1
+            alone.append((*row[:4], abs(f1 - row.f1) < 1e-9))
+    finally:
+        parts.unpersist()
+    return rows(spark, alone, "numTopFeatures int, withStd boolean, regParam double, maxIter int, same boolean")
 
 
 def best_params(spark: SparkSession, sf: str) -> DataFrame:
-    return randomly_tuned_classifier(_vectors(spark, sf), SMALL_GRID, parallelism=PARALLELISM).best
+    """Whether the best point is the best of its metrics, and beats guessing the most frequent label."""
+    vectors = _vectors(spark, sf)
+    tuned = tuned_classifier(vectors, "doc_id", tuning.Grid(), PARALLELISM)
+    best, top = tuned.best.first(), tuning.best_point(tuned.metrics)
+    test = split.stable_split(vectors, "doc_id").filter("part = 'test'")
+    guess = evaluate.weighted_f1(test.select("label", F.lit(0.0).alias("prediction")))
+    chosen = (best.numTopFeatures, best.withStd, best.regParam, best.maxIter) == astuple(top)
+    return guess.select(
+        "rows", rounded(F.col("f1")).alias("guess_f1"), (F.lit(best.f1) > F.col("f1")).alias("beats_guess"), F.lit(chosen).alias("is_best")
+    )
 
 
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(spark, sf)
-    train.persist()
-    model = tuning.fit_point(train, tuning.Point(settings.SELECTED_FEATURES, True, 0.1, 5), PARALLELISM)
-    train.unpersist()
+    model = _fitted(train)
     path = scratch_path(spark, "model")
     save_model(model, path)
     before = classify.score(model, test, "doc_id")
@@ -404,6 +508,7 @@ QUERIES = {
     "tokens_task1": tokens_task1,
     "tokens_task2": tokens_task2,
     "stopword_anti_join": stopword_anti_join,
+    "stopword_file": stopword_file,
     "term_freq": term_freq,
     "term_total": term_total,
     "category_total": category_total,
@@ -422,6 +527,7 @@ QUERIES = {
     "text_sink_roundtrip": text_sink_roundtrip,
     "doc_freq": doc_freq,
     "vocabulary": vocabulary,
+    "count_vectorizer": count_vectorizer,
     "term_counts": term_counts,
     "idf_weights": idf_weights,
     "tfidf": tfidf,
@@ -429,7 +535,9 @@ QUERIES = {
     "label_index": label_index,
     "feature_chi2": feature_chi2,
     "feature_chi2_test": feature_chi2_test,
+    "feature_p_values": feature_p_values,
     "feature_chi2_rank": feature_chi2_rank,
+    "top_feature": top_feature,
     "score_sink_roundtrip": score_sink_roundtrip,
     "select_by_statistic": select_by_statistic,
     "select_by_pvalue": select_by_pvalue,

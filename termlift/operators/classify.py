@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import Normalizer, StandardScaler
 from pyspark.sql import DataFrame
 
-from termlift.operators.selection import pvalue_selector
+from termlift.operators.selection import pvalue_slicer
 
 
 def scaler(with_std: bool = True, input: str = "selected", output: str = "scaled") -> StandardScaler:
@@ -35,19 +37,22 @@ def one_vs_rest(svm: LinearSVC, parallelism: int = 1) -> OneVsRest:
 
 
 def classifier_pipeline(
+    ranking: Sequence[int],
     num_top_features: int,
     with_std: bool = True,
     reg_param: float = 0.0,
     max_iter: int = 100,
     parallelism: int = 1,
 ) -> Pipeline:
-    """Feature selection, scaling, normalising and one-vs-rest in one estimator.
+    """Selection of the first features of a ranking, scaling, normalising and one-vs-rest in one estimator.
 
     Reads vectors `features` and index `label`, adds `prediction`.
     """
     svm = linear_svm(reg_param, max_iter)
     return Pipeline(
-        stages=[pvalue_selector(num_top_features), scaler(with_std), normalizer(), one_vs_rest(svm, parallelism)]
+        stages=[
+            pvalue_slicer(ranking, num_top_features), scaler(with_std), normalizer(), one_vs_rest(svm, parallelism)
+        ]
     )
 
 

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from termlift.functions.text import clean_term
 
-# One text line holds at most this many terms (a few megabytes).
-LINE_TERMS = 500_000
-
 
 def clean_terms(scored: DataFrame) -> DataFrame:
     """Distinct non-empty cleaned terms of a table with `term`.
@@ -23,24 +20,3 @@ def clean_terms(scored: DataFrame) -> DataFrame:
 def merged_dictionary(scored: DataFrame) -> DataFrame:
     """The cleaned terms in code-point order, one per row."""
     return clean_terms(scored).orderBy("term")
-
-
-def dictionary_lines(dictionary: DataFrame, line_terms: int = LINE_TERMS) -> DataFrame:
-    """The sorted dictionary as space-joined lines: `part, line`.
-
-    Up to `line_terms` terms give a single line. A larger dictionary is cut
-    into consecutive lines, in `part` order, so no row or task holds all of it.
-    `dictionary` is read twice, so give it a written table.
-    """
-    parts = max(1, -(-dictionary.count() // line_terms))
-    ranges = dictionary.select("term").repartitionByRange(parts, "term").sortWithinPartitions("term")
-    # The id holds the partition in its high bits and the row's position in the low 33.
-    place = ranges.select("term", F.monotonically_increasing_id().alias("place"))
-    partition = F.shiftright(F.col("place"), 33)
-    position = F.col("place") - F.shiftleft(partition, 33)
-    return (
-        place.select("term", partition.alias("p"), F.floor(position / line_terms).alias("chunk"))
-        .groupBy("p", "chunk")
-        .agg(F.array_join(F.sort_array(F.collect_list("term")), " ").alias("line"))
-        .select((F.shiftleft("p", 32) + F.col("chunk")).alias("part"), "line")
-    )

@@ -64,22 +64,25 @@ def term_stages(stop_words: Sequence[str], text: str = "reviewText") -> tuple[Re
     return tokenizer, StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words))
 
 
+def count_vectorizer(size: int = VOCABULARY_SIZE, min_documents: int = MIN_DOCUMENTS) -> CountVectorizer:
+    """MLlib's own estimator; which of equally frequent terms at the cut are kept is up to the partitioning."""
+    return CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=size, minDF=min_documents)
+
+
 def feature_pipeline(
     stop_words: Sequence[str],
-    size: int = VOCABULARY_SIZE,
-    min_documents: int = MIN_DOCUMENTS,
+    vectorizer: CountVectorizer | CountVectorizerModel,
     text: str = "reviewText",
     label: str = "category",
 ) -> Pipeline:
-    """Tokenizer, stop-word remover, count vectorizer, IDF and label indexer in one estimator.
+    """Tokenizer, stop-word remover, vectorizer, IDF and label indexer in one estimator.
 
-    Fitting reads the texts three times. Which of equally frequent terms make
-    the vocabulary is up to the partitioning; `build_features` has neither trait.
+    Fitting reads the texts once for each stage that learns; `build_features` shares passes.
     """
     return Pipeline(
         stages=[
             *term_stages(stop_words, text),
-            CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=size, minDF=min_documents),
+            vectorizer,
             IDF(inputCol="counts", outputCol="features"),
             StringIndexer(inputCol=label, outputCol="label"),
         ]

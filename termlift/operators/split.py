@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,20 +11,21 @@ from pyspark.sql import functions as F
 PARTS = ("train", "validation", "test")
 WEIGHTS = (0.8, 0.1, 0.1)
 SEED = 42
-_BUCKETS = 1000
+_PLACES = 1 << 32
 
 
-def bucket(key: Column, seed: int = SEED) -> Column:
-    """A number below 1000 from the key and the seed, the same on every run."""
+def place_of(key: Column, seed: int = SEED) -> Column:
+    """A number below 2^32 from the key and the seed, the same on every run."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % _BUCKETS
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def stable_split(df: DataFrame, key: str, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """Add `part`, decided by the key alone and not by how the rows are partitioned."""
-    train = round(_BUCKETS * weights[0] / sum(weights))
-    validation = train + round(_BUCKETS * weights[1] / sum(weights))
-    place = bucket(F.col(key), seed)
+    shares = [Fraction(str(weight)) for weight in weights]
+    train = int(_PLACES * shares[0] / sum(shares))
+    validation = int(_PLACES * (shares[0] + shares[1]) / sum(shares))
+    place = place_of(F.col(key), seed)
     part = F.when(place < train, PARTS[0]).when(place < validation, PARTS[1]).otherwise(PARTS[2])
     return df.withColumn("part", part)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termlift.functions.text import TERM_DELIMITERS, is_term, raw_terms, terms
 from termlift.plans.scale import checked_broadcast
+from termlift.sources.stopwords import stop_word_list
 
 
 def explode_terms(
@@ -16,15 +17,20 @@ def explode_terms(
     *keep: str,
     text: str = "reviewText",
     delimiters: str = TERM_DELIMITERS,
-    stop_words: Sequence[str] = (),
+    stop_words: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
     """One row per kept term occurrence: the kept columns and `term`.
 
+    Stop words are a list, or a table with `term`, as read from a file.
+
     The outer generator matters: for a plain one the optimizer infers a filter
     on the array's size, and every text would be split twice.
     """
     pieces = F.explode_outer(raw_terms(F.col(text), delimiters)).alias("term")
-    return reviews.select(*keep, pieces).filter(is_term(F.col("term"), stop_words))
+    exploded = reviews.select(*keep, pieces)
+    if isinstance(stop_words, DataFrame):
+        return drop_stop_words(exploded.filter(is_term(F.col("term"), ())), stop_words)
+    return exploded.filter(is_term(F.col("term"), stop_words))
 
 
 def drop_stop_words(exploded: DataFrame, stop_table: DataFrame) -> DataFrame:
@@ -32,6 +38,13 @@ def drop_stop_words(exploded: DataFrame, stop_table: DataFrame) -> DataFrame:
     return exploded.join(checked_broadcast(stop_table), "term", "left_anti").select(*exploded.columns)
 
 
-def add_terms(reviews: DataFrame, text: str = "reviewText", stop_words: Sequence[str] = ()) -> DataFrame:
-    """Add the array column `terms`, split by the feature delimiters."""
+def add_terms(
+    reviews: DataFrame, text: str = "reviewText", stop_words: Sequence[str] | DataFrame = ()
+) -> DataFrame:
+    """Add the array column `terms`, split by the feature delimiters.
+
+    A table of stop words must be small enough to be part of the plan, see `stop_word_list`.
+    """
+    if isinstance(stop_words, DataFrame):
+        stop_words = stop_word_list(stop_words)
     return reviews.withColumn("terms", terms(F.col(text), stop_words=stop_words))

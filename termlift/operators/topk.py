@@ -9,22 +9,25 @@ from pyspark.sql import Window
 from termlift.functions.scores import rounded
 
 TOP_TERMS = 75
+# A category's terms are ranked in this many parts first.
+PARTS = 32
 
 
 def top_terms(scores: DataFrame, k: int = TOP_TERMS) -> DataFrame:
     """The k best terms of each category: `category, rank, term, chi2`.
 
-    Scores are compared at six decimals and ties go to the lower term. The
-    filter on the rank lets Spark keep only k rows per category and task before
-    the shuffle, so a large category sends k rows per task and no more.
+    Scores are compared at six decimals and ties go to the lower term. Each
+    category is ranked in PARTS parts by a hash of the term, whatever its size
+    and whatever k is, and the best k of each part are ranked again, so no task
+    holds a category and the last shuffle moves at most k * PARTS rows of it.
     """
-    best_first = Window.partitionBy("category").orderBy(F.desc("chi2"), F.asc("term"))
-    return (
-        scores.select("category", "term", rounded(F.col("chi2")).alias("chi2"))
-        .withColumn("rank", F.row_number().over(best_first))
-        .filter(F.col("rank") <= k)
-        .select("category", "rank", "term", "chi2")
-    )
+    part = F.pmod(F.xxhash64("term"), F.lit(PARTS)).alias("part")
+    order = (F.desc("chi2"), F.asc("term"))
+    rounded_scores = scores.select("category", "term", rounded(F.col("chi2")).alias("chi2"), part)
+    in_part = F.row_number().over(Window.partitionBy("category", "part").orderBy(*order))
+    best = rounded_scores.withColumn("rank", in_part).filter(F.col("rank") <= k).drop("rank", "part")
+    overall = F.row_number().over(Window.partitionBy("category").orderBy(*order))
+    return best.withColumn("rank", overall).filter(F.col("rank") <= k).select("category", "rank", "term", "chi2")
 
 
 def top_lists(top: DataFrame) -> DataFrame:

@@ -9,14 +9,12 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlift.operators.classify import classifier_pipeline, linear_svm, normalizer, one_vs_rest, scaler
 from termlift.operators.evaluate import f1_evaluator
-from termlift.operators.selection import pvalue_ranking
+from termlift.operators.selection import pvalue_ranking, pvalue_slicer
 from termlift.operators.split import SEED
 from termlift.sources.tables import rows
 
@@ -56,37 +54,10 @@ def param_grid(spark: SparkSession, grid: Grid) -> DataFrame:
 
 def tune_with_random_split(
     train_validation: DataFrame, grid: Grid, train_ratio: float, seed: int = SEED, parallelism: int = 1
-) -> TrainValidationSplitModel:
-    """MLlib's tuning: random split, one fit of the whole pipeline per point, refit of the best on all rows."""
-    first = classifier_pipeline(grid.num_top_features[0], parallelism=parallelism)
-    selector, scale, _, ovr = first.getStages()
-    points = (
-        ParamGridBuilder()
-        .addGrid(selector.selectionThreshold, [float(k) for k in grid.num_top_features])
-        .addGrid(scale.withStd, list(grid.with_std))
-        .addGrid(ovr.getClassifier().regParam, list(grid.reg_param))
-        .addGrid(ovr.getClassifier().maxIter, list(grid.max_iter))
-        .build()
-    )
-    return TrainValidationSplit(
-        estimator=first,
-        estimatorParamMaps=points,
-        evaluator=f1_evaluator(),
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(train_validation)
-
-
-def split_metrics(model: TrainValidationSplitModel, like: DataFrame) -> DataFrame:
-    """The validation F1 of each point as a table."""
-    values = []
-    for params, metric in zip(model.getEstimatorParamMaps(), model.validationMetrics):
-        named = {param.name: value for param, value in params.items()}
-        values.append(
-            (int(named["selectionThreshold"]), named["withStd"], named["regParam"], named["maxIter"], float(metric))
-        )
-    return rows(like.sparkSession, values, _METRIC_SCHEMA)
+) -> DataFrame:
+    """F1 of each point on a random validation part, drawn once, with the work shared as in `tune_on_parts`."""
+    train, validation = train_validation.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
+    return tune_on_parts(train, validation, grid, parallelism)
 
 
 def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, parallelism: int = 1) -> DataFrame:
@@ -102,12 +73,11 @@ def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, paralleli
     ranking = pvalue_ranking(train, max(grid.num_top_features))
     results = []
     for k in grid.num_top_features:
-        slicer = VectorSlicer(inputCol="features", outputCol="selected", indices=sorted(ranking[:k]))
+        slicer = pvalue_slicer(ranking, k)
         for with_std in grid.with_std:
             scaling = scaler(with_std).fit(slicer.transform(train))
             prepare = PipelineModel([slicer, scaling, normalizer()])
             fitting, checking = (prepare.transform(part).select("label", "normal").persist() for part in (train, validation))
-            fitting.count()
             settings = list(product(grid.reg_param, grid.max_iter))
             at_once = min(parallelism, len(settings))
 
@@ -115,11 +85,14 @@ def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, paralleli
                 svm = one_vs_rest(linear_svm(*setting), max(1, parallelism // at_once))
                 return evaluator.evaluate(svm.fit(fitting).transform(checking))
 
-            with ThreadPool(at_once) as pool:
-                scores = pool.map(inheritable_thread_target(spark)(validated), settings)
+            try:
+                fitting.count()
+                with ThreadPool(at_once) as pool:
+                    scores = pool.map(inheritable_thread_target(spark)(validated), settings)
+            finally:
+                fitting.unpersist()
+                checking.unpersist()
             results += [(k, with_std, *setting, float(f1)) for setting, f1 in zip(settings, scores)]
-            fitting.unpersist()
-            checking.unpersist()
     return rows(spark, results, _METRIC_SCHEMA)
 
 
@@ -132,7 +105,8 @@ def best_point(metrics: DataFrame) -> Point:
 
 def fit_point(train: DataFrame, point: Point, parallelism: int = 1) -> PipelineModel:
     """The whole pipeline, fitted with one point's parameters."""
-    return classifier_pipeline(*astuple(point), parallelism).fit(train)
+    ranking = pvalue_ranking(train, point.num_top_features)
+    return classifier_pipeline(ranking, *astuple(point), parallelism).fit(train)
 
 
 def best_params(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -141,7 +115,7 @@ def best_params(model: PipelineModel, test: DataFrame) -> DataFrame:
     svm = ovr.getClassifier()
     f1 = f1_evaluator().evaluate(model.transform(test))
     row = (
-        int(selector.getSelectionThreshold()),
+        len(selector.getIndices()),
         scaling.getWithStd(),
         svm.getRegParam(),
         svm.getMaxIter(),

@@ -7,19 +7,16 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from termlift.operators.split import SEED, WEIGHTS, random_split, stable_split, union_all
+from termlift.operators.split import PARTS, SEED, WEIGHTS, random_split, stable_split, union_all
 from termlift.operators.tuning import (
     Grid,
     best_params,
     best_point,
     fit_point,
-    split_metrics,
     tune_on_parts,
     tune_with_random_split,
 )
 
-from termlift.plans.scale import packed
-
 
 @dataclass(frozen=True)
 class Tuned:
@@ -32,23 +29,33 @@ class Tuned:
 
 def tuned_classifier(vectors: DataFrame, key: str, grid: Grid = Grid(), parallelism: int = 1) -> Tuned:
     """Split by key, tune on the validation part, refit on train and validation, score the test part."""
-    parts = stable_split(packed(vectors), key).select("part", "label", "features").persist()
-    train, validation, test = (parts.filter(parts.part == name).drop("part") for name in ("train", "validation", "test"))
-    metrics = tune_on_parts(train, validation, grid, parallelism)
-    model = fit_point(union_all(train, validation), best_point(metrics), parallelism)
-    best = best_params(model, test)
-    parts.unpersist()
-    return Tuned(model, metrics, best)
+    parts = stable_split(vectors, key).select("part", "label", "features").persist()
+    try:
+        train, validation, test = (parts.filter(parts.part == name).drop("part") for name in PARTS)
+        metrics = tune_on_parts(train, validation, grid, parallelism)
+        return _refitted(union_all(train, validation), test, metrics, parallelism)
+    finally:
+        parts.unpersist()
 
 
 def randomly_tuned_classifier(
     vectors: DataFrame, grid: Grid = Grid(), seed: int = SEED, parallelism: int = 1
 ) -> Tuned:
-    """The same by random splits: the validation rows are merged back and drawn again by the tuner."""
-    data = packed(vectors).select("label", "features").persist()
-    train, validation, test = random_split(data, WEIGHTS, seed)
-    ratio = WEIGHTS[0] / (WEIGHTS[0] + WEIGHTS[1])
-    tuned = tune_with_random_split(union_all(train, validation), grid, ratio, seed, parallelism)
-    best = best_params(tuned.bestModel, test)
-    data.unpersist()
-    return Tuned(tuned.bestModel, split_metrics(tuned, vectors), best)
+    """The same by random splits: the validation rows are merged back and drawn again by the tuner.
+
+    The parts depend on how `vectors` is partitioned, and on nothing else but the seed.
+    """
+    data = vectors.select("label", "features").persist()
+    try:
+        train, validation, test = random_split(data, WEIGHTS, seed)
+        ratio = WEIGHTS[0] / (WEIGHTS[0] + WEIGHTS[1])
+        merged = union_all(train, validation)
+        metrics = tune_with_random_split(merged, grid, ratio, seed, parallelism)
+        return _refitted(merged, test, metrics, parallelism)
+    finally:
+        data.unpersist()
+
+
+def _refitted(train: DataFrame, test: DataFrame, metrics: DataFrame, parallelism: int) -> Tuned:
+    model = fit_point(train, best_point(metrics), parallelism)
+    return Tuned(model, metrics, best_params(model, test))

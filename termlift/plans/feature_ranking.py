@@ -20,6 +20,7 @@ from termlift.operators.features import (
 from termlift.operators.selection import feature_chi2, rank_features
 from termlift.operators.tokens import add_terms
 from termlift.plans.scale import spread, written
+from termlift.sources.stopwords import stop_word_list
 
 
 @dataclass(frozen=True)
@@ -33,7 +34,7 @@ class Features:
 
 def build_features(
     reviews: DataFrame,
-    stop_words: Sequence[str],
+    stop_words: Sequence[str] | DataFrame,
     size: int = VOCABULARY_SIZE,
     min_documents: int = MIN_DOCUMENTS,
     fit_on: DataFrame | None = None,
@@ -48,6 +49,8 @@ def build_features(
     By default all rows make the vocabulary and weights. To keep test rows out
     of them, pass the training rows as `fit_on`.
     """
+    if isinstance(stop_words, DataFrame):
+        stop_words = stop_word_list(stop_words)
     documents = add_terms(spread(reviews), stop_words=stop_words)
     fitted = documents if fit_on is None else add_terms(spread(fit_on), stop_words=stop_words)
     corpus = written(corpus_counts(fitted), "corpus_counts")

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Fewer rows than this per task leave an iterative fit dominated by task overhead.
-TRAINING_ROWS = 20_000
+# Session setting: partitions to deal the input of a text pass to.
+INPUT_PARTITIONS = "spark.termlift.inputPartitions"
 
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables, which all executors share.
@@ -72,25 +72,11 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if within(df, max_rows) else df
 
 
-def packed(df: DataFrame, rows_per_task: int = TRAINING_ROWS) -> DataFrame:
-    """Merge partitions until they hold about `rows_per_task` rows, without a shuffle.
-
-    An iterative fit runs a job over all partitions in every iteration, so many
-    near-empty ones cost more than the arithmetic. Partitions that hold more
-    rows than that, as on every large table, stay as they are. Counting is an
-    action: give it a written table.
-    """
-    wanted = max(1, -(-df.count() // rows_per_task))
-    return df.coalesce(wanted) if wanted < df.rdd.getNumPartitions() else df
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows if the scan yields fewer partitions than there are cores.
+    """Deal the rows to as many partitions as the session setting INPUT_PARTITIONS says; unset, leave them.
 
-    A few small files would otherwise be tokenised on a few cores. Inputs with
-    enough splits, which is every large one, pass through without a shuffle.
-    Give it a scan with at most filters and projections: asking for the
-    partitions of a plan with a shuffle runs that shuffle.
+    A few small files would otherwise be tokenised on a few cores. Large inputs
+    have splits enough and need no setting.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df

@@ -26,12 +26,12 @@ class TermReport:
     dictionary: DataFrame
 
 
-def counted(reviews: DataFrame, stop_words: Sequence[str]) -> DataFrame:
+def counted(reviews: DataFrame, stop_words: Sequence[str] | DataFrame) -> DataFrame:
     """The only pass over the texts: pair counts as a written table."""
     return written(term_freq(explode_terms(spread(reviews), "category", stop_words=stop_words)), "term_freq")
 
 
-def term_report(reviews: DataFrame, stop_words: Sequence[str], k: int = TOP_TERMS) -> TermReport:
+def term_report(reviews: DataFrame, stop_words: Sequence[str] | DataFrame, k: int = TOP_TERMS) -> TermReport:
     """Counts, scores, top terms and dictionary of `category, reviewText` rows."""
     freq = counted(reviews, stop_words)
     scores = chi2_scores(freq)
@@ -39,7 +39,6 @@ def term_report(reviews: DataFrame, stop_words: Sequence[str], k: int = TOP_TERM
 
 
 def write_term_report(report: TermReport, folder: str) -> None:
-    """Write `report` (category lines, then the dictionary) and `dictionary` below a folder."""
-    dictionary = written(report.dictionary, "dictionary")
-    write_report(report.top, dictionary, f"{folder}/report")
-    write_dictionary(dictionary, f"{folder}/dictionary")
+    """Write the category lines and the merged dictionary, which follows them in the report, below a folder."""
+    write_report(report.top, f"{folder}/report")
+    write_dictionary(report.dictionary, f"{folder}/dictionary")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termlift.functions.scores import score_text
-from termlift.operators.dictionary import LINE_TERMS, dictionary_lines
 from termlift.operators.topk import top_lists
 
 
@@ -19,22 +18,19 @@ def category_lines(top: DataFrame) -> DataFrame:
     return top_lists(top).select("category", line.alias("line"))
 
 
-def report_lines(top: DataFrame, dictionary: DataFrame, line_terms: int = LINE_TERMS) -> DataFrame:
-    """Category lines by category, then the dictionary: `section, category, part, line`.
+def report_lines(top: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Category lines, then one row per dictionary term: `section, category, line`.
 
-    Sorting by the first three columns gives the order of the report.
+    Sorting by all three columns gives the order of the report, at any size.
     """
-    first = category_lines(top).select(F.lit(0).alias("section"), "category", F.lit(0).cast("long").alias("part"), "line")
-    last = dictionary_lines(dictionary, line_terms).select(
-        F.lit(1).alias("section"), F.lit(None).cast("string").alias("category"), "part", "line"
-    )
+    first = category_lines(top).select(F.lit(0).alias("section"), "category", "line")
+    last = dictionary.select(F.lit(1).alias("section"), F.lit(None).cast("string").alias("category"), F.col("term").alias("line"))
     return first.unionByName(last)
 
 
-def write_report(top: DataFrame, dictionary: DataFrame, path: str, line_terms: int = LINE_TERMS) -> None:
-    """Write the report as text; an existing report at this path is replaced, and nothing else."""
-    lines = report_lines(top, dictionary, line_terms).orderBy("section", "category", "part")
-    lines.select("line").write.mode("overwrite").text(path)
+def write_report(top: DataFrame, path: str) -> None:
+    """Write the category lines as text; an existing report at this path is replaced, and nothing else."""
+    category_lines(top).orderBy("category").select("line").write.mode("overwrite").text(path)
 
 
 def write_dictionary(dictionary: DataFrame, path: str) -> None:

@@ -17,6 +17,7 @@ def spark():
         "local[*]",
         spark__driver__memory="8g",
         spark__sql__shuffle__partitions="8",
+        spark__termlift__inputPartitions="8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

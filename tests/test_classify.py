@@ -32,6 +32,30 @@ def test_random_parts_are_disjoint_and_complete(reviews):
     assert merged.count() == merged.distinct().count() == keys.count()
 
 
+def test_small_weights_leave_no_part_empty(spark):
+    keys = spark.range(200_000).withColumnRenamed("id", "key")
+    counted = split.stable_split(keys, "key", weights=(0.9993, 0.0004, 0.0003)).groupBy("part").count()
+    sizes = {row.part: row["count"] for row in counted.collect()}
+    assert 40 < sizes["validation"] < 130 and 25 < sizes["test"] < 110
+
+
+def test_the_test_part_does_not_depend_on_the_size_of_the_table(spark):
+    """The same partitions give the same parts, whether other rows make the table large or not."""
+    keys = spark.range(0, 4000, 1, 4)
+    parts = [{row.id for row in part.collect()} for part in split.random_split(keys)]
+    again = [{row.id for row in part.collect()} for part in split.random_split(spark.range(0, 4000, 1, 4))]
+    assert parts == again
+
+
+def test_the_feature_test_runs_once_for_all_points(parts, monkeypatch):
+    calls = []
+    real = tuning.pvalue_ranking
+    monkeypatch.setattr(tuning, "pvalue_ranking", lambda *a: calls.append(a) or real(*a))
+    train, validation, _ = parts
+    tuning.tune_with_random_split(split.union_all(train, validation), tuning.Grid((20, 30), (True,), (0.1,), (2,)), 0.8)
+    assert len(calls) == 1
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_weighted_f1_equals_the_evaluator(spark, seed):
     pairs = spark.range(500).select(

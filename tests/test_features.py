@@ -1,7 +1,9 @@
 import math
 from collections import Counter
+from fractions import Fraction
 
 import pytest
+from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from termlift.functions.vectors import explode_vector
 from termlift.operators import counts
 from termlift.operators.classify import normalizer, scaler
 from termlift.operators.features import (
+    count_vectorizer,
     feature_pipeline,
     label_index,
     tfidf_stages,
@@ -20,11 +23,12 @@ from termlift.operators.selection import (
     feature_chi2,
     feature_chi2_test,
     pvalue_ranking,
-    pvalue_selector,
+    _row_statistic,
     rank_features,
     select_by_statistic,
+    with_p_value,
 )
-from termlift.operators.tokens import add_terms
+from termlift.operators.tokens import add_terms, explode_terms
 from termlift.plans.feature_ranking import build_features, feature_ranking
 from termlift.sources.tables import rows
 
@@ -70,7 +74,7 @@ def test_entries_of_sparse_and_dense_vectors(spark):
 def test_features_equal_mllibs(spark, reviews):
     """With every frequent term in the vocabulary both pipelines hold the same terms."""
     ours = build_features(reviews, STOP_WORDS, size=1 << 18)
-    model = feature_pipeline(STOP_WORDS, size=1 << 18).fit(reviews)
+    model = feature_pipeline(STOP_WORDS, count_vectorizer(1 << 18)).fit(reviews)
     names = vocabulary_of(model.stages[2], reviews)
     assert names.count() == ours.vocabulary.count()
     left = explode_vector(ours.vectors, "features", "doc_id", "label").join(ours.vocabulary, "featureIndex")
@@ -126,10 +130,38 @@ def test_feature_without_zeros(spark):
 
 
 def test_pvalue_ranking_picks_what_the_selector_picks(features):
-    selected = pvalue_selector(40).fit(features.vectors).selectedFeatures
+    selector = UnivariateFeatureSelector(featuresCol="features", labelCol="label", outputCol="selected", selectionMode="numTopFeatures")
+    selector = selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(40)
+    selected = selector.fit(features.vectors).selectedFeatures
     assert sorted(pvalue_ranking(features.vectors, 40)) == sorted(selected)
 
 
+def test_p_values_equal_mllibs(features):
+    ours = with_p_value(feature_chi2(features.vectors)).select("featureIndex", F.col("pValue").alias("ours"))
+    both = ours.join(feature_chi2_test(features.vectors), "featureIndex")
+    assert both.filter("abs(ours - pValue) > 1e-9").count() == 0
+
+
+def test_statistics_of_large_counts_do_not_cancel(spark):
+    """Labels of 10^10 rows each but for a few: against exact fractions."""
+    n, counts = 10**10, {0: 3, 1: 10**6, 2: 10**6 + 7}
+    labels = {0: n, 1: n + 1, 2: n + 2}
+    cells = rows(spark, [(float(o), float(labels[label])) for label, o in counts.items()], "o double, c double")
+    total, r = Fraction(sum(labels.values())), Fraction(sum(counts.values()))
+    exact = sum((o - r * labels[label] / total) ** 2 / (r * labels[label] / total) for label, o in counts.items())
+    row = cells.agg(F.collect_list(F.struct("o", "c")).alias("row"))
+    found = row.select(_row_statistic("row", F.lit(float(r)), F.lit(float(total))).alias("s")).first().s
+    assert found == pytest.approx(float(exact), rel=1e-9)
+
+
+def test_stop_words_as_a_table(spark, reviews):
+    table = rows(spark, [("the",), ("und",)], "term string")
+    listed = explode_terms(reviews, "doc_id", stop_words=["the", "und"])
+    assert explode_terms(reviews, "doc_id", stop_words=table).exceptAll(listed).count() == 0
+    as_lists = add_terms(reviews, stop_words=["the", "und"]).select("doc_id", "terms")
+    assert add_terms(reviews, stop_words=table).select("doc_id", "terms").exceptAll(as_lists).count() == 0
+
+
 def test_ranking_and_statistic_selection(features):
     ranked = feature_ranking(features, 20).collect()
     assert len(ranked) == 20
