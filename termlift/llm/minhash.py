@@ -10,9 +10,11 @@ million, of similarity 0.8 below one in ten thousand.
 Documents with the same set are one class and are hashed once, so a group of
 copies costs one signature. In each bucket every class is linked to the smallest
 one only: a star, with as many edges as members. Each edge is confirmed on the
-full sets. Where a bucket then still holds several components, its members of
-different components are compared too, so that a star whose centre is unlike
-some members loses no link between them.
+full sets. Where a bucket then still holds several components, its members are
+compared inside a task, in chunks of bounded size, and what comes out is which
+components are linked; so a star whose centre is unlike some members loses no
+link between them, and no list of pairs is made. That step alone takes time that
+grows with the square of a bucket that holds several components.
 
 Sets are rebuilt from the texts where edges are confirmed; only texts of classes
 that met another one in a bucket are shuffled.
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,9 @@ BINS = 128
 ROWS = 5
 BANDS = BINS // ROWS
 ATTEMPTS = 2048
+# Members of a bucket that a task compares with as many others, and shingles it does so for at a time.
+CHUNK = 512
+COLUMNS = 4096
 
 
 @functools.cache
@@ -142,56 +147,112 @@ def _possible(edges: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
 
 
-def similar_classes(docs: DataFrame, key: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Written tables: every document with its class (key, n, rep; a null rep for empty sets), and linked classes (a, b)."""
+def shared_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of incidence matrices over slices of the shingles."""
+    member = np.repeat(np.arange(len(sets)), [len(one) for one in sets])
+    _, shingle, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = seen[shingle] > 1
+    _, column = np.unique(shingle[common], return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    member, column = member[common][order], column[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        low, high = np.searchsorted(column, [start, start + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[member[low:high], column[low:high] - start] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def _linked_parts(width: int, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """In one pair of chunks of a bucket: the components that any two members link."""
+
+    def run(group: pa.Table) -> pa.Table:
+        rows = group.select(["rep", "part"]).to_pylist()
+        sets = [shingle_set(value.as_buffer().to_pybytes(), width) for value in group["b_text"]]
+        sizes = np.array([len(one) for one in sets])
+        parts = sorted({row["part"] for row in rows})
+        number = {one: place for place, one in enumerate(parts)}
+        part = np.array([number[row["part"]] for row in rows])
+        shared = shared_shingles(sets)
+        near = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+        one, other = np.nonzero(near & (part[:, None] < part[None, :]))
+        pairs = sorted(set(zip(part[one].tolist(), part[other].tolist())))
+        kind = group.schema.field("part").type
+        ends = [pa.array([parts[pair[side]] for pair in pairs], kind) for side in (0, 1)]
+        return pa.Table.from_arrays(ends, ["a", "b"])
+
+    return run
+
+
+def _across(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between the components that share a bucket: pairs (a, b) of component ids.
+
+    Members are compared inside the task, so no pair is emitted but one for each
+    two components found to be linked. A large bucket is cut into chunks, and
+    every two of them are a group, so none exceeds twice CHUNK members. Buckets of
+    the same members are compared once.
+    """
+    buckets = placed.groupBy("band").agg(
+        F.min("part").alias("low"),
+        F.max("part").alias("high"),
+        F.count(F.lit(1)).alias("many"),
+        F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("members"),
+    )
+    # With two members, the star has compared all there is.
+    open_buckets = buckets.filter((F.col("low") != F.col("high")) & (F.col("many") > 2))
+    once = open_buckets.groupBy("many", "members").agg(F.min("band").alias("band"))
+    chunks = F.ceil(F.col("many") / CHUNK).cast("int").alias("chunks")
+    rows = placed.join(once.select("band", chunks), "band")
+    own = F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")
+    pair = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
+    )
+    dealt = rows.select("band", "rep", "part", F.inline(pair)).join(texts, "rep")
+    kind = placed.schema["part"].dataType.simpleString()
+    return dealt.groupBy("band", "i", "j").applyInArrow(_linked_parts(width, percent), f"a {kind}, b {kind}").distinct()
+
+
+def classes_of(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """Every document's key, set size `n`, and component: the smallest key it reaches, null if its set is empty."""
     rows = written(described(docs, key, text, width), "minhash_rows")
     full = rows.filter(F.col("digest").isNotNull() & F.col("key").isNotNull())
     classes = full.groupBy("digest").agg(F.min("key").alias("rep"), F.min("n").alias("n"), F.min("bands").alias("bands"))
     classes = written(classes, "minhash_classes")
-    members = rows.join(classes.select("digest", "rep"), "digest", "left").select("key", "n", "rep")
 
     met = classes.select("rep", F.explode("bands").alias("band"))
     shared = met.groupBy("band").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("many")).filter("many > 1")
     crowd = written(met.join(shared.select("band", "centre"), "band"), "minhash_buckets")
     star = crowd.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    sizes = classes.select("rep", "n")
-    tried = written(_possible(star, sizes, percent), "minhash_edges")
+    tried = _possible(star, classes.select("rep", "n"), percent)
 
     wanted = crowd.select("rep").distinct()
     first = docs.select(F.col(key), F.col(text)).join(wanted, F.col(key) == F.col("rep"), "left_semi")
     # A repeated row would repeat its edges only; one text per id is enough.
     texts = texts_as_bytes(first, text, key).withColumnRenamed(key, "rep").dropDuplicates(["rep"])
     texts = written(texts, "minhash_texts")
-    links = written(confirmed(tried, texts, width, percent), "minhash_links")
+    linked = written(components(confirmed(tried, texts, width, percent)), "minhash_components")
 
-    # Buckets that hold several components: compare members across them, but for pairs already tried.
-    linked = components(links)
     placed = crowd.join(linked, F.col("rep") == F.col("node"), "left").select(
         "band", "rep", F.coalesce("component_id", "rep").alias("part")
     )
-    parts = placed.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("many"))
-    mixed_bands = parts.filter((F.col("low") != F.col("high")) & (F.col("many") > 2)).select("band")
-    rest = written(placed.join(mixed_bands, "band", "left_semi").join(sizes, "rep"), "minhash_rest")
-    one = rest.select("band", F.col("rep").alias("a"), F.col("part").alias("part_a"), F.col("n").alias("n_a"))
-    two = rest.select("band", F.col("rep").alias("b"), F.col("part").alias("part_b"), F.col("n").alias("n_b"))
-    across = one.join(two, "band").filter(
-        (F.col("a") < F.col("b"))
-        & (F.col("part_a") != F.col("part_b"))
-        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    joined = components(_across(placed, texts, width, percent)).select(
+        F.col("node").alias("part"), F.col("component_id").alias("whole")
     )
-    more = written(across.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "minhash_more")
-    return members, links.unionByName(written(confirmed(more, texts, width, percent), "minhash_links"))
+    known = classes.select("digest", "rep").join(linked, F.col("rep") == F.col("node"), "left")
+    placed_classes = known.select("digest", F.coalesce("component_id", "rep").alias("part")).join(joined, "part", "left")
+    places = placed_classes.select("digest", F.coalesce("whole", "part").alias("component"))
+    return rows.join(places, "digest", "left").select("key", "n", "component")
 
 
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT
 ) -> DataFrame:
     """One row per document: key, n_shingles, component_id, kept."""
-    members, links = similar_classes(docs, key, text, width, percent)
-    linked = components(links)
-    joined = members.join(linked, F.col("rep") == F.col("node"), "left")
-    smallest = F.when(F.col("key").isNotNull(), F.coalesce("component_id", "rep", "key")).alias("component_id")
-    found = joined.select(F.col("key"), F.col("n").alias("n_shingles"), smallest)
+    placed = classes_of(docs, key, text, width, percent)
+    smallest = F.when(F.col("key").isNotNull(), F.coalesce("component", "key")).alias("component_id")
+    found = placed.select(F.col("key"), F.col("n").alias("n_shingles"), smallest)
     return found.select(F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
