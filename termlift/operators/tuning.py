@@ -103,9 +103,11 @@ def best_point(metrics: DataFrame) -> Point:
     return Point(best.numTopFeatures, best.withStd, best.regParam, best.maxIter)
 
 
-def fit_point(train: DataFrame, point: Point, parallelism: int = 1) -> PipelineModel:
-    """The whole pipeline, fitted with one point's parameters."""
-    ranking = pvalue_ranking(train, point.num_top_features)
+def fit_point(
+    train: DataFrame, point: Point, parallelism: int = 1, ranking: Sequence[int] | None = None
+) -> PipelineModel:
+    """The whole pipeline, fitted with one point's parameters; a ranking of the features made before is reused."""
+    ranking = pvalue_ranking(train, point.num_top_features) if ranking is None else ranking
     return classifier_pipeline(ranking, *astuple(point), parallelism).fit(train)
 
 
