@@ -34,7 +34,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +56,7 @@ BUCKETS = 256
 LOCAL = 2
 BLOCKS_PER_TASK = 512
 WORD_SMOOTHING = 0.1
+GROUP_BYTES = 1 << 19
 # Stands for the end of a text among the hashes of words.
 END_WORD = np.uint64(0x5851F42D4C957F2D)
 # log gamma(i + 1/2) and log i! for the first arguments; beyond them Stirling's series is exact to 1e-12.
@@ -206,15 +207,43 @@ def words(text: bytes) -> np.ndarray:
     return np.append(word_hashes(text), END_WORD)
 
 
-def _distinct(made: list[np.ndarray], held: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys of a block's texts and how often each occurs in those to learn from."""
-    train = [one for one, out in zip(made, held) if not out]
-    found = np.unique(np.concatenate(made))
-    counts = np.zeros(len(found), np.int64)
-    if train:
-        some, many = np.unique(np.concatenate(train), return_counts=True)
-        counts[np.searchsorted(found, some)] = many
-    return found, counts
+def word_bucket(keys: np.ndarray) -> np.ndarray:
+    """Buckets of words come after those of n-grams."""
+    return BUCKETS + (keys >> np.uint64(56)).astype(np.int64)
+
+
+# What a text is cut into, and where each key of it goes.
+KINDS = ((ngrams, bucket_of), (words, word_bucket))
+
+
+def _groups(texts: list[bytes]) -> Iterator[range]:
+    """Neighbouring texts of about GROUP_BYTES together."""
+    start, size = 0, 0
+    for at, text in enumerate(texts):
+        size += len(text)
+        if size >= GROUP_BYTES:
+            yield range(start, at + 1)
+            start, size = at + 1, 0
+    if start < len(texts):
+        yield range(start, len(texts))
+
+
+def _distinct(texts: list[bytes], make: Callable, held: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a block's texts and how often each occurs in those to learn from.
+
+    Only the distinct keys of each group of texts are held at a time.
+    """
+    parts = []
+    for group in _groups(texts):
+        made = [make(texts[at]) for at in group]
+        found = np.unique(np.concatenate(made))
+        counts = np.zeros(len(found), np.int64)
+        train = [one for one, at in zip(made, group) if held is not None and not held[at]]
+        if train:
+            some, many = np.unique(np.concatenate(train), return_counts=True)
+            counts[np.searchsorted(found, some)] = many
+        parts.append((found, counts))
+    return tuple(_sums(*map(np.concatenate, zip(*parts))))
 
 
 def _by_bucket(keys: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -224,12 +253,6 @@ def _by_bucket(keys: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, list[n
     return found, np.split(order, starts[1:])
 
 
-def _kinds(texts: list[bytes]) -> Iterator[tuple[list[np.ndarray], object]]:
-    """The keys of each text, n-grams first, then words, with the function that gives their buckets."""
-    yield [ngrams(text) for text in texts], bucket_of
-    yield [words(text) for text in texts], lambda keys: BUCKETS + (keys >> np.uint64(56)).astype(np.int64)
-
-
 def requests(blocks: DataFrame) -> DataFrame:
     """Each block's distinct n-grams and words by bucket, with how often its training texts hold them."""
 
@@ -238,8 +261,8 @@ def requests(blocks: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 texts = texts_of(batch["sizes"][row].as_py(), batch["body"][row].as_py())
                 held = [is_held_out(key) for key in batch["keys"][row].as_py()]
-                for made, bucket in _kinds(texts):
-                    keys, counts = _distinct(made, held)
+                for make, bucket in KINDS:
+                    keys, counts = _distinct(texts, make, held)
                     found, places = _by_bucket(keys, bucket(keys))
                     columns = [
                         pa.array(found.astype(np.int32)),
@@ -335,15 +358,16 @@ def answers(asked: DataFrame, counted: DataFrame, upper: Upper, salts: int) -> D
     return pairs.applyInArrow(run, "block long, bucket int, reply binary")
 
 
-def _looked_up(made: list[np.ndarray], bucket: object, replies: dict[int, bytes], kind: type) -> list[np.ndarray]:
+def _looked_up(texts: list[bytes], make: Callable, bucket: Callable, replies: dict[int, bytes], kind: type) -> Iterator[np.ndarray]:
     """For each text the answers to its keys, in ascending order of the keys."""
-    keys = np.unique(np.concatenate(made))
+    keys, _ = _distinct(texts, make)
     found, places = _by_bucket(keys, bucket(keys))
     values = np.zeros(len(keys), kind)
     for one, at in zip(found.tolist(), places):
         values[at] = np.frombuffer(unsqueezed(replies[one]), kind)
-    # Neighbouring needles meet neighbouring keys, so each text's keys are sorted before they are searched.
-    return [values[np.searchsorted(keys, np.sort(one))] for one in made]
+    for text in texts:
+        # Neighbouring needles meet neighbouring keys, so each text's keys are sorted before they are searched.
+        yield values[np.searchsorted(keys, np.sort(make(text)))]
 
 
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -361,9 +385,8 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         out = [[] for _ in SCORE_NAMES]
         for row in group.to_pylist():
             texts = texts_of(row["sizes"], row["body"])
-            (grams, gram_bucket), (tokens, word_bucket) = _kinds(texts)
-            logs = [values.astype(np.float64).sum() * math.log10(2) for values in _looked_up(grams, gram_bucket, reply, np.float32)]
-            counts = _looked_up(tokens, word_bucket, reply, np.int64)
+            logs = [values.astype(np.float64).sum() * math.log10(2) for values in _looked_up(texts, *KINDS[0], reply, np.float32)]
+            counts = list(_looked_up(texts, *KINDS[1], reply, np.int64))
             bottom = total + WORD_SMOOTHING * (distinct + 1)
             base = [float(np.log10((many + WORD_SMOOTHING) / bottom).sum()) if total else None for many in counts]
             known = [int((many > 0).sum()) for many in counts]
