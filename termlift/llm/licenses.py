@@ -4,8 +4,8 @@ A document's units are its lines, its paragraphs (between blank lines) and the
 whole text. Text is lower-cased and cut at everything that is neither letter nor
 digit. The similarity of a unit with `a` distinct bigrams and a template with `b`,
 `c` of them shared, is 2c / (a + b). It can reach the threshold t only if
-t * (a + b) <= 2 * min(a, b); that bound, and before it the number of words,
-prunes nearly all pairs before bigrams are compared.
+t * (a + b) <= 2 * min(a, b). As c <= a, c is at least t * b / (2 - t): only the
+templates of which the whole text holds so many bigrams are compared with units.
 
 Templates are few and given by the caller, so they are part of the plan. All
 work happens inside the row, by SQL expressions: no shuffle, no Python on rows.
@@ -21,27 +21,71 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Public notices as their licenses ask to place them, and common one-line forms.
+# Whole license texts, one file each.
+TEXTS = Path(__file__).with_name("license_texts")
+
+
+def _gnu(name: str, version: str) -> str:
+    """How the GNU licenses ask to be named in a source file."""
+    return (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the "
+        f"GNU {name} as published by the Free Software Foundation, either version {version} of the License, or "
+        "(at your option) any later version"
+    )
+
+
+def _gnu_warranty(program: str, name: str) -> str:
+    return (
+        f". {program} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+        f"implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+        f" You should have received a copy of the GNU {name} along with this program. If not, see "
+        "<https://www.gnu.org/licenses/>."
+    )
+
+
+_APACHE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+    "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+)
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_CC = "This work is licensed under a Creative Commons {} International License"
+
+# Fixed values, several for a license: whole texts ("text"), public notices as the licenses ask to place them ("notice",
+# and "header" with the paragraphs that follow it), and common one-line forms.
 TEMPLATES = {
+    "AGPL-3.0": f"This work is licensed under the GNU {_AGPL}, version 3",
+    "AGPL-3.0 header": _gnu(_AGPL, "3") + _gnu_warranty("This program", _AGPL),
+    "AGPL-3.0 notice": _gnu(_AGPL, "3"),
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
-    "Apache-2.0 notice": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"
+    "Apache-2.0 header": _APACHE + (
+        " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+        "on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+        "for the specific language governing permissions and limitations under the License."
     ),
+    "Apache-2.0 notice": _APACHE,
     "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-4.0": _CC.format("Attribution 4.0"),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-4.0 notice": _CC.format("Attribution-NonCommercial 4.0"),
+    "CC-BY-NC-ND-4.0 notice": _CC.format("Attribution-NonCommercial-NoDerivatives 4.0"),
+    "CC-BY-NC-SA-4.0 notice": _CC.format("Attribution-NonCommercial-ShareAlike 4.0"),
+    "CC-BY-ND-4.0 notice": _CC.format("Attribution-NoDerivatives 4.0"),
+    "CC-BY-SA-4.0 notice": _CC.format("Attribution-ShareAlike 4.0"),
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
-    "GPL-3.0 notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version"
-    ),
+    "GPL-2.0 header": _gnu(_GPL, "2") + _gnu_warranty("This program", _GPL),
+    "GPL-2.0 notice": _gnu(_GPL, "2"),
+    "GPL-3.0": f"This work is licensed under the GNU {_GPL}, version 3",
+    "GPL-3.0 header": _gnu(_GPL, "3") + _gnu_warranty("This program", _GPL),
+    "GPL-3.0 notice": _gnu(_GPL, "3"),
+    "LGPL-2.1 header": _gnu(_LGPL, "2.1") + _gnu_warranty("This library", _LGPL),
+    "LGPL-2.1 notice": _gnu(_LGPL, "2.1"),
+    "LGPL-3.0 header": _gnu(_LGPL, "3") + _gnu_warranty("This library", _LGPL),
+    "LGPL-3.0 notice": _gnu(_LGPL, "3"),
     "MIT": "Released under the MIT License",
     "MIT notice": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -52,7 +96,9 @@ TEMPLATES = {
         "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"
     ),
     "Proprietary": "All rights reserved",
+    **{f"{path.stem} text": path.read_text(encoding="utf-8") for path in sorted(TEXTS.glob("*.txt"))},
 }
+TEMPLATES["MIT permission"] = TEMPLATES["MIT text"].split("\n\n")[0]
 PERCENT = 80
 SEPARATOR = r"[^\p{L}\p{N}]+"
 BLANK = r"\n[\x20\x09-\x0D]*\n"
@@ -68,10 +114,20 @@ def template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])}) or words
 
 
+def _pairs(words: Column) -> Column:
+    last = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, last), F.slice(words, 2, last), lambda a, b: F.concat_ws(" ", a, b))
+
+
 def _bigrams(words: Column) -> Column:
-    last = F.size(words) - 1
-    pairs = F.zip_with(F.slice(words, 1, last), F.slice(words, 2, last), lambda a, b: F.concat_ws(" ", a, b))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(words)
+    return F.when(F.size(words) > 1, F.array_distinct(_pairs(words))).otherwise(words)
+
+
+def _near(known: Column, table: Column, percent: int) -> Column:
+    """Templates of which the whole text holds as many bigrams as any similar part of it must."""
+    return F.filter(
+        table, lambda t: (200 - percent) * F.size(F.array_intersect(known, t["grams"])) >= percent * t["b"]
+    )
 
 
 def _hits(grams: Column, table: Column, percent: int) -> Column:
@@ -107,11 +163,15 @@ def scan(docs: DataFrame, text: str = "text", templates: Mapping[str, str] = TEM
     # The size bound for any template, on words: a unit of n words, d of them distinct, has d - 1 to n bigrams.
     least = min(-(-percent * size // (200 - percent)) for size in sizes)
     most = max((200 - percent) * size // percent for size in sizes)
+    # One string literal a template, cut when the plan is optimised: thousands of literals would take seconds to pass.
     rows = [
-        F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, made)).alias("grams"), F.lit(len(made)).alias("b"))
+        F.struct(F.lit(name).alias("name"), F.split(F.lit("\n".join(made)), "\n").alias("grams"), F.lit(len(made)).alias("b"))
         for name, made in grams.items()
     ]
     table = F.array(*rows)
+    # A unit of one word can only be similar to a template of one word.
+    looked_up = "concat(l_pairs, l_words)" if any(" " not in gram for made in grams.values() for gram in made) else "l_pairs"
+    known = ", ".join(f"'{gram}'" for gram in sorted(set().union(*grams.values())))
 
     def cut(line: Column) -> Column:
         return F.filter(F.split(F.lower(line), SEPARATOR), lambda word: word != "")
@@ -120,13 +180,18 @@ def scan(docs: DataFrame, text: str = "text", templates: Mapping[str, str] = TEM
     paragraphs = F.transform(F.split(body, BLANK), lambda part: F.transform(F.split(part, "\n"), cut))
     longer = F.transform(F.filter("l_cut", lambda part: F.size(part) > 1), F.flatten)
     whole = F.when(F.size("l_cut") > 1, F.array(F.flatten(F.flatten("l_cut")))).otherwise(F.array().cast("array<array<string>>"))
-    units = F.concat(F.flatten("l_cut"), longer, whole)
+    none = F.array().cast("array<array<string>>")
+    units = F.when(F.size("l_near") > 0, F.concat(F.flatten("l_cut"), longer, whole)).otherwise(none)
     sized = F.filter(
         units, lambda unit: (F.size(unit) >= least) & ((F.size(unit) <= most) | (F.size(F.array_distinct(unit)) - 1 <= most))
     )
-    hits = F.transform(F.transform(sized, _bigrams), lambda made: _hits(made, table, percent))
+    hits = F.transform(F.transform(sized, _bigrams), lambda made: _hits(made, F.col("l_near"), percent))
     return (
         docs.withColumn("l_cut", paragraphs)
+        .withColumn("l_words", F.flatten(F.flatten("l_cut")))
+        .withColumn("l_pairs", _pairs(F.col("l_words")))
+        .withColumn("l_known", F.array_distinct(F.expr(f"filter({looked_up}, gram -> gram IN ({known}))")))
+        .withColumn("l_near", _near(F.col("l_known"), table, percent))
         .withColumn("l_hits", F.filter(hits, lambda found: F.size(found) > 0))
         .withColumn("l_units", F.size("l_hits").cast("long"))
         .withColumn("l_best", _best(F.flatten("l_hits")))

@@ -143,3 +143,15 @@ def test_licenses_equal_plain_python(spark, edge_docs, edge_texts, no_docs):
 def test_no_python_in_native_plans(edge_docs, run):
     plan = run(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_whole_license_texts_are_templates(spark):
+    """Standard texts as they are placed: the MIT paragraph, BSD conditions with another holder, ISC, GNU texts."""
+    text = {name: body for name, body in licenses.TEMPLATES.items() if name.endswith(" text")}
+    mit = text["MIT text"].split("\n\n")[0]
+    bsd = text["BSD-3-Clause text"].replace("the copyright holder nor", "Foo Inc. nor")
+    docs = made(spark, [mit, mit.replace("\n", " "), bsd, *(body for _, body in sorted(text.items()))])
+    got = {row.doc_id: row.l_license or "" for row in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(3)] == ["MIT permission", "MIT permission", "BSD-3-Clause text"]
+    # Some texts hold their own notice, which is as similar.
+    assert [got[i].split(" ")[0] for i in range(3, 3 + len(text))] == [name.split(" ")[0] for name in sorted(text)]
