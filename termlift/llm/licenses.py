@@ -1,7 +1,13 @@
 """License notices found by word-bigram Dice similarity with templates.
 
 A document's units are its lines, its paragraphs (between blank lines) and the
-whole text. Text is lower-cased and cut at everything that is neither letter nor
+whole text. Where none of them is similar as a whole, windows of a template's own
+number of words find its notice inside longer lines, comment blocks and texts. A
+window starts where one of the template's bigrams does; for templates of more
+than STRIDES words it starts at every place of its first bigram and at every
+n / STRIDES-th word, so the similarity seen is at most 1 / STRIDES too low. A
+window inside a similar unit, or a similar window at least twice as long, is left
+to that one. Text is lower-cased and cut at everything that is neither letter nor
 digit. The similarity of a unit with `a` distinct bigrams and a template with `b`,
 `c` of them shared, is 2c / (a + b). It can reach the threshold t only if
 t * (a + b) <= 2 * min(a, b). As c <= a, c is at least t * b / (2 - t): only the
@@ -10,6 +16,9 @@ templates of which the whole text holds so many bigrams are compared with units.
 Templates are few and given by the caller, so they are part of the plan. All
 work happens inside the row, by SQL expressions: no shuffle, no Python on rows.
 
+`l_units` counts units similar as a whole, not windows: a text in which only a
+window is similar has a license and 0 units. `l_found` has all names found.
+
 Defined results: null and empty texts, and texts without a match, have a null
 license and a similarity of 0.0; a unit of one word has that word as its only
 bigram; equal similarities go to the license first in name order; repeated rows
@@ -100,6 +109,7 @@ TEMPLATES = {
 }
 TEMPLATES["MIT permission"] = TEMPLATES["MIT text"].split("\n\n")[0]
 PERCENT = 80
+STRIDES = 40
 SEPARATOR = r"[^\p{L}\p{N}]+"
 BLANK = r"\n[\x20\x09-\x0D]*\n"
 
@@ -123,10 +133,73 @@ def _bigrams(words: Column) -> Column:
     return F.when(F.size(words) > 1, F.array_distinct(_pairs(words))).otherwise(words)
 
 
+def _known(words: str, grams: list[str]) -> str:
+    """Distinct bigrams of a text that any template has; only pairs of two template words are put together."""
+    listed = ", ".join(f"'{gram}'" for gram in grams)
+    each = ", ".join(f"'{word}'" for word in sorted({word for gram in grams for word in gram.split(" ")}))
+    pairs = (
+        f"zip_with(slice({words}, 1, greatest(size({words}) - 1, 0)), slice({words}, 2, greatest(size({words}) - 1, 0)), "
+        f"(a, b) -> CASE WHEN a IN ({each}) AND b IN ({each}) THEN concat_ws(' ', a, b) END)"
+    )
+    # A unit of one word can only be similar to a template of one word.
+    looked_up = f"concat({pairs}, {words})" if any(" " not in gram for gram in grams) else pairs
+    return f"array_distinct(filter({looked_up}, gram -> gram IN ({listed})))"
+
+
 def _near(known: Column, table: Column, percent: int) -> Column:
     """Templates of which the whole text holds as many bigrams as any similar part of it must."""
+    enough = F.filter(table, lambda t: (200 - percent) * F.size(known) >= percent * t["b"])
     return F.filter(
-        table, lambda t: (200 - percent) * F.size(F.array_intersect(known, t["grams"])) >= percent * t["b"]
+        enough, lambda t: (200 - percent) * F.size(F.array_intersect(known, t["grams"])) >= percent * t["b"]
+    )
+
+
+def _placed(parts: Column) -> Column:
+    """Each part of a text with the place of its first word: words, at."""
+    ends = F.aggregate(parts, F.array(F.lit(1)), lambda done, part: F.concat(done, F.array(F.element_at(done, -1) + F.size(part))))
+    return F.zip_with(parts, F.slice(ends, 1, F.size(parts)), lambda part, at: F.struct(part.alias("words"), at.alias("at")))
+
+
+def _windows(near: Column, words: Column, pairs: Column, percent: int) -> Column:
+    """Similar windows of every template in `near`: name, c, both, at, n."""
+
+    def similar(t: Column) -> Column:
+        line = F.when(t["n"] == 1, words).otherwise(pairs)
+        step = F.greatest(F.ceil(t["n"] / STRIDES).cast("int"), F.lit(1))
+        marked = F.transform(line, lambda gram, i: F.struct(gram.alias("gram"), (i + 1).alias("at")))
+        starts = F.filter(
+            marked,
+            lambda place: (place["gram"] == t["first"])
+            | F.when(step > 1, (place["at"] - 1) % step == 0).otherwise(F.array_contains(t["grams"], place["gram"])),
+        )
+        compared = F.transform(
+            starts,
+            lambda place: _window(F.array_distinct(F.slice(line, place["at"], F.greatest(t["n"] - 1, F.lit(1)))), place["at"], t, F.size(words)),
+        )
+        return F.filter(compared, lambda hit: 200 * hit["c"] >= percent * hit["both"])
+
+    return F.flatten(F.transform(near, similar))
+
+
+def _window(grams: Column, at: Column, t: Column, n_words: Column) -> Column:
+    return F.struct(
+        t["name"].alias("name"),
+        F.size(F.array_intersect(grams, t["grams"])).alias("c"),
+        (F.size(grams) + t["b"]).alias("both"),
+        at.alias("at"),
+        F.least(t["n"], n_words + 1 - at).alias("n"),
+    )
+
+
+def _inside(hit: Column, other: Column) -> Column:
+    return (hit["at"] >= other["at"]) & (hit["at"] + hit["n"] <= other["at"] + other["n"])
+
+
+def _alone(windows: Column, units: Column) -> Column:
+    """Windows that lie neither in a similar unit nor in a window at least twice as long."""
+    outside = F.filter(windows, lambda hit: ~F.exists(units, lambda unit: _inside(hit, unit)))
+    return F.filter(
+        outside, lambda hit: ~F.exists(windows, lambda other: (other["n"] >= 2 * hit["n"]) & _inside(hit, other))
     )
 
 
@@ -157,7 +230,7 @@ def _best(hits: Column) -> Column:
 
 
 def scan(docs: DataFrame, text: str = "text", templates: Mapping[str, str] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
-    """Append `l_license`, `l_dice` (of the most similar pair) and `l_units` (units similar to any template)."""
+    """Append `l_license`, `l_dice` (of the most similar pair), `l_units` (units similar to any template) and `l_found`."""
     grams = {name: template_bigrams(body) for name, body in sorted(templates.items())}
     sizes = [len(made) for made in grams.values()]
     # The size bound for any template, on words: a unit of n words, d of them distinct, has d - 1 to n bigrams.
@@ -165,40 +238,65 @@ def scan(docs: DataFrame, text: str = "text", templates: Mapping[str, str] = TEM
     most = max((200 - percent) * size // percent for size in sizes)
     # One string literal a template, cut when the plan is optimised: thousands of literals would take seconds to pass.
     rows = [
-        F.struct(F.lit(name).alias("name"), F.split(F.lit("\n".join(made)), "\n").alias("grams"), F.lit(len(made)).alias("b"))
+        F.struct(
+            F.lit(name).alias("name"), F.split(F.lit("\n".join(made)), "\n").alias("grams"), F.lit(len(made)).alias("b"),
+            F.lit(len(template_words(templates[name]))).alias("n"), F.lit(" ".join(template_words(templates[name])[:2])).alias("first"),
+        )
         for name, made in grams.items()
     ]
     table = F.array(*rows)
-    # A unit of one word can only be similar to a template of one word.
-    looked_up = "concat(l_pairs, l_words)" if any(" " not in gram for made in grams.values() for gram in made) else "l_pairs"
-    known = ", ".join(f"'{gram}'" for gram in sorted(set().union(*grams.values())))
+    known = sorted(set().union(*grams.values()))
 
     def cut(line: Column) -> Column:
         return F.filter(F.split(F.lower(line), SEPARATOR), lambda word: word != "")
 
     body = F.coalesce(F.col(text), F.lit(""))
     paragraphs = F.transform(F.split(body, BLANK), lambda part: F.transform(F.split(part, "\n"), cut))
-    longer = F.transform(F.filter("l_cut", lambda part: F.size(part) > 1), F.flatten)
-    whole = F.when(F.size("l_cut") > 1, F.array(F.flatten(F.flatten("l_cut")))).otherwise(F.array().cast("array<array<string>>"))
-    none = F.array().cast("array<array<string>>")
-    units = F.when(F.size("l_near") > 0, F.concat(F.flatten("l_cut"), longer, whole)).otherwise(none)
+    lines = _placed(F.flatten("l_cut"))
+    longer = F.filter(
+        F.zip_with(
+            F.col("l_cut"),
+            _placed(F.transform("l_cut", F.flatten)),
+            lambda part, placed: F.when(F.size(part) > 1, placed),
+        ),
+        lambda placed: placed.isNotNull(),
+    )
+    text_at = F.struct(F.col("l_words").alias("words"), F.lit(1).alias("at"))
+    whole = F.filter(F.array(text_at), lambda _: F.size("l_cut") > 1)
+    none = F.array().cast("array<struct<words:array<string>,at:int>>")
+    units = F.when(F.size("l_near") > 0, F.concat(lines, longer, whole)).otherwise(none)
     sized = F.filter(
-        units, lambda unit: (F.size(unit) >= least) & ((F.size(unit) <= most) | (F.size(F.array_distinct(unit)) - 1 <= most))
+        units,
+        lambda unit: (F.size(unit["words"]) >= least)
+        & ((F.size(unit["words"]) <= most) | (F.size(F.array_distinct(unit["words"])) - 1 <= most)),
+    )
+    hits = F.transform(
+        sized,
+        lambda unit: F.struct(
+            _hits(_bigrams(unit["words"]), F.col("l_near"), percent).alias("hits"), unit["at"].alias("at"), F.size(unit["words"]).alias("n")
+        ),
+    )
+    by_unit = F.flatten(F.transform("l_hits", lambda unit: unit["hits"]))
+    by_window = F.transform(
+        _alone(F.col("l_windows"), F.col("l_hits")),
+        lambda hit: F.struct(hit["name"].alias("name"), hit["c"].alias("c"), hit["both"].alias("both")),
     )
-    hits = F.transform(F.transform(sized, _bigrams), lambda made: _hits(made, F.col("l_near"), percent))
     return (
         docs.withColumn("l_cut", paragraphs)
         .withColumn("l_words", F.flatten(F.flatten("l_cut")))
-        .withColumn("l_pairs", _pairs(F.col("l_words")))
-        .withColumn("l_known", F.array_distinct(F.expr(f"filter({looked_up}, gram -> gram IN ({known}))")))
+        .withColumn("l_known", F.expr(_known("l_words", known)))
         .withColumn("l_near", _near(F.col("l_known"), table, percent))
-        .withColumn("l_hits", F.filter(hits, lambda found: F.size(found) > 0))
+        .withColumn("l_pairs", F.when(F.size("l_near") > 0, _pairs(F.col("l_words"))).otherwise(F.array().cast("array<string>")))
+        .withColumn("l_hits", F.filter(hits, lambda unit: F.size(unit["hits"]) > 0))
         .withColumn("l_units", F.size("l_hits").cast("long"))
-        .withColumn("l_best", _best(F.flatten("l_hits")))
+        .withColumn("l_windows", _windows(F.col("l_near"), F.col("l_words"), F.col("l_pairs"), percent))
+        .withColumn("l_both", F.concat(by_unit, by_window))
+        .withColumn("l_best", _best(F.col("l_both")))
         .select(
             *(F.col(f"`{name}`") for name in docs.columns),
             F.col("l_best.name").alias("l_license"),
             F.col("l_best.dice").alias("l_dice"),
             "l_units",
+            F.array_sort(F.array_distinct(F.transform("l_both", lambda hit: hit["name"]))).alias("l_found"),
         )
     )

@@ -155,3 +155,25 @@ def test_whole_license_texts_are_templates(spark):
     assert [got[i] for i in range(3)] == ["MIT permission", "MIT permission", "BSD-3-Clause text"]
     # Some texts hold their own notice, which is as similar.
     assert [got[i].split(" ")[0] for i in range(3, 3 + len(text))] == [name.split(" ")[0] for name in sorted(text)]
+
+
+def test_notices_inside_longer_units(spark):
+    """Notices within a line, before a further paragraph, in comment blocks, and in a long text on one line."""
+    text = licenses.TEMPLATES
+    block = "\n *\n".join("\n".join(f" * {line}" for line in part.split("\n")) for part in text["BSD-3-Clause text"].split("\n\n"))
+    cases = {
+        "Copyright 2020 Foo Inc. All rights reserved.": "Proprietary",
+        "Copyright (c) 2020 Foo. Released under the MIT License.": "MIT",
+        "This project is released under the MIT License.": "MIT",
+        "Foo is made here.\n" + text["GPL-3.0 header"].replace("will", "\nwill"): "GPL-3.0 header",
+        f"/*\n * Copyright Foo\n{block}\n */\n" + "\n".join(words(300, 11)): "BSD-3-Clause text",
+        " ".join([*words(2000, 12), text["Apache-2.0 header"], *words(2000, 13)]): "Apache-2.0 header",
+        " ".join([*words(500, 14), text["CC-BY-4.0"], *words(500, 15)]): "CC-BY-4.0",
+        " ".join([*words(2000, 16), *text["GPL-3.0 text"].split(), *words(2000, 17)]): "GPL-3.0 text",
+        " ".join([*words(100, 18), "released under a license", *words(100, 19)]): None,
+    }
+    got = {row.doc_id: row for row in licenses.scan(made(spark, list(cases))).collect()}
+    assert [got[i].l_license for i in range(len(cases))] == list(cases.values())
+    assert all(row.l_dice > 0.97 for row in got.values() if row.l_license)
+    both = " ".join([*words(300, 20), "Foo. All rights reserved.", *words(300, 21), *text["ISC text"].split(), *words(300, 22)])
+    assert licenses.scan(made(spark, [both])).first().l_found == ["ISC text", "Proprietary"]
