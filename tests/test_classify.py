@@ -3,6 +3,7 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from termlift.catalog import queries
 from termlift.operators import classify, evaluate, split, tuning
 from termlift.plans.classifier import randomly_tuned_classifier, tuned_classifier
 from termlift.plans.scale import scratch_path
@@ -117,3 +118,13 @@ def test_random_tuning_repeats_with_the_seed(features):
     assert once.best.first() == again.best.first()
     assert once.metrics.count() == 2
     assert {row.f1 for row in once.metrics.collect()} == {row.f1 for row in again.metrics.collect()}
+
+
+def test_a_wrong_f1_of_any_point_is_seen(parts):
+    train, validation, _ = parts
+    metrics = tuning.tune_on_parts(train, validation, tuning.Grid((30,), (True,), (0.1, 1.0), (2,)))
+    least = metrics.orderBy("f1", F.desc("regParam")).first().regParam
+    wrong = metrics.withColumn("f1", F.when(F.col("regParam") == least, F.col("f1") * 0.9).otherwise(F.col("f1")))
+    assert all(row.same for row in queries._checked_alone(metrics, train, validation).collect())
+    got = {row.regParam: row.same for row in queries._checked_alone(wrong, train, validation).collect()}
+    assert got == {reg: reg != least for reg in (0.1, 1.0)}
