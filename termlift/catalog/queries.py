@@ -334,12 +334,13 @@ def select_by_statistic(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def select_by_pvalue(spark: SparkSession, sf: str) -> DataFrame:
-    """Selected features of the conversation turns, by p-values at six decimals."""
-    return top_lowest(feature_p_values(spark, sf), settings.SELECTED_FEATURES)
+    """Features of the conversation turns selected by full p-values; only the columns returned are rounded."""
+    return _selected_by_pvalue(selection.feature_chi2(_role_vectors(spark, sf)))
 
 
-def top_lowest(tested: DataFrame, k: int) -> DataFrame:
-    return tested.orderBy("pValue", "featureIndex").limit(k)
+def _selected_by_pvalue(tested: DataFrame) -> DataFrame:
+    possible = tested.filter("degreesOfFreedom > 0")
+    return _rounded_p_values(written(selection.select_by_pvalue(possible, settings.SELECTED_FEATURES), "selected_by_pvalue"))
 
 
 def scaled_features(spark: SparkSession, sf: str) -> DataFrame:

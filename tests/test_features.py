@@ -7,6 +7,7 @@ from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from termlift.catalog import queries, settings
 from termlift.catalog.settings import STOP_WORDS
 from termlift.functions.vectors import explode_vector
 from termlift.operators import counts
@@ -182,3 +183,11 @@ def test_unit_lengths(features):
 def test_scaling_without_std_is_the_identity(features):
     scaled = scaler(False, "features").fit(features.vectors).transform(features.vectors)
     assert scaled.filter("features != scaled").count() == 0
+
+
+def test_query_selects_by_full_p_values(spark, monkeypatch):
+    """Both p-values are 0 at six decimals; the second is lower."""
+    monkeypatch.setattr(settings, "SELECTED_FEATURES", 1)
+    tested = rows(spark, [(0, 40.0, 1), (1, 60.0, 1)], "featureIndex int, statistic double, degreesOfFreedom int")
+    got = queries._selected_by_pvalue(tested).collect()
+    assert [(row.featureIndex, row.pValue) for row in got] == [(1, 0.0)]
