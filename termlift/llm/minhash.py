@@ -111,8 +111,13 @@ def described(docs: DataFrame, key: str = "doc_id", text: str = "text", width: i
     return rows.mapInArrow(run, f"key {kind}, n long, digest binary, bands array<long>")
 
 
-def confirmed(edges: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Edges (a, b) whose full sets are similar enough. `texts` has rep and b_text."""
+def confirmed(
+    edges: DataFrame,
+    texts: DataFrame,
+    set_of: Callable[[bytes], np.ndarray],
+    close: Callable[[np.ndarray, np.ndarray], bool],
+) -> DataFrame:
+    """Edges (a, b) whose full sets are close. `texts` has rep and b_text, from which a set is made."""
     left = texts.select(F.col("rep").alias("a"), F.col("b_text").alias("text_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("b_text").alias("text_b"))
 
@@ -126,10 +131,9 @@ def confirmed(edges: DataFrame, texts: DataFrame, width: int = WIDTH, percent: i
                     if body not in known:
                         if len(known) >= 8:
                             known.clear()
-                        known[body] = shingle_set(body, width)
+                        known[body] = set_of(body)
                     sets.append(known[body])
-                shared = len(np.intersect1d(*sets, assume_unique=True))
-                if 100 * shared >= percent * (len(sets[0]) + len(sets[1]) - shared):
+                if close(*sets):
                     keep.append(row)
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([part["a"], part["b"]], ["a", "b"])
@@ -139,6 +143,14 @@ def confirmed(edges: DataFrame, texts: DataFrame, width: int = WIDTH, percent: i
     return paired.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _similar(percent: int) -> Callable[[np.ndarray, np.ndarray], bool]:
+    def close(one: np.ndarray, other: np.ndarray) -> bool:
+        shared = len(np.intersect1d(one, other, assume_unique=True))
+        return 100 * shared >= percent * (len(one) + len(other) - shared)
+
+    return close
+
+
 def _possible(edges: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Edges whose set sizes allow the similarity."""
     joined = edges.join(sizes.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a").join(
@@ -185,10 +197,10 @@ def _linked_parts(width: int, percent: int) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
-def _across(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def across(placed: DataFrame, texts: DataFrame, linked: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """Links between the components that share a bucket: pairs (a, b) of component ids.
 
-    Members are compared inside the task, so no pair is emitted but one for each
+    Members are compared by `linked` inside the task, so no pair is emitted but one for each
     two components found to be linked. A large bucket is cut into chunks, and
     every two of them are a group, so none exceeds twice CHUNK members. Buckets of
     the same members are compared once.
@@ -211,7 +223,7 @@ def _across(placed: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
     )
     dealt = rows.select("band", "rep", "part", F.inline(pair)).join(texts, "rep")
     kind = placed.schema["part"].dataType.simpleString()
-    return dealt.groupBy("band", "i", "j").applyInArrow(_linked_parts(width, percent), f"a {kind}, b {kind}").distinct()
+    return dealt.groupBy("band", "i", "j").applyInArrow(linked, f"a {kind}, b {kind}").distinct()
 
 
 def classes_of(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
@@ -233,12 +245,12 @@ def classes_of(docs: DataFrame, key: str, text: str, width: int, percent: int) -
     # A repeated row would repeat its edges only; one text per id is enough.
     texts = texts_as_bytes(first, text, key).withColumnRenamed(key, "rep").dropDuplicates(["rep"])
     texts = written(texts, "minhash_texts")
-    linked = written(components(confirmed(tried, texts, width, percent)), "minhash_components")
+    linked = written(components(confirmed(tried, texts, functools.partial(shingle_set, width=width), _similar(percent))), "minhash_components")
 
     placed = crowd.join(linked, F.col("rep") == F.col("node"), "left").select(
         "band", "rep", F.coalesce("component_id", "rep").alias("part")
     )
-    joined = components(_across(placed, texts, width, percent)).select(
+    joined = components(across(placed, texts, _linked_parts(width, percent))).select(
         F.col("node").alias("part"), F.col("component_id").alias("whole")
     )
     known = classes.select("digest", "rep").join(linked, F.col("rep") == F.col("node"), "left")

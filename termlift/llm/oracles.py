@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from termlift.llm import licenses, quality, sharding
+from termlift.llm import licenses, nra, phrases, quality, sharding
 
 GAP = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -135,8 +135,62 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counts JOIN verdict USING (doc_id)
 """
 
+def _lowered(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _term_lists(name: str, key: str) -> str:
+    split = f"regexp_split_to_array({_lowered('text')}, '{nra.BETWEEN}')"
+    return f"SELECT {key}, row_number() OVER () AS r, list_filter({split}, lambda x: x <> '') AS terms FROM {name}"
+
+
+OP12 = f"""
+WITH docs AS ({_term_lists("documents", "doc_id")}),
+stats AS (SELECT count(*) AS many, sum(len(terms))::BIGINT AS total FROM docs WHERE len(terms) > 0),
+tf AS (SELECT r, doc_id, len(terms) AS n, term, count(*) AS tf FROM (SELECT *, unnest(terms) AS term FROM docs) GROUP BY r, doc_id, len(terms), term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT DISTINCT item_id, unnest(terms) AS term FROM ({_term_lists("benchmark", "item_id")})),
+weights AS (SELECT item_id, term, floor(1000 * ln((2 * many + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM asked JOIN df USING (term), stats),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * many) // total))))::BIGINT AS score
+  FROM weights JOIN tf USING (term), stats GROUP BY item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {nra.BEST}
+"""
+
+_PARTS = "[.,;:!?\\x0A-\\x0D]"
+
+OP13 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, '{phrases.NO_LANGUAGE}') AS lang, unnest(regexp_split_to_array({_lowered('text')}, '{_PARTS}')) AS piece FROM documents),
+cut AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM pieces),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM cut GROUP BY lang),
+starts AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM cut, (SELECT unnest(range(1, {phrases.MAX_WORDS + 1})) AS k)),
+f AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM starts
+  GROUP BY ALL HAVING count(*) >= {phrases.SUPPORT}),
+split AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+parts AS (
+  SELECT lang, phrase, f, c, array_to_string(words[1:c], ' ') AS head, array_to_string(words[c + 1:k], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM split)),
+scored AS (
+  SELECT p.lang, p.phrase, p.f AS a, p.c, h.f AS l, t.f AS r, n, ((1000::HUGEINT * p.f * n) // (h.f::HUGEINT * t.f))::BIGINT AS score
+  FROM parts p JOIN f h ON p.lang = h.lang AND p.head = h.phrase JOIN f t ON p.lang = t.lang AND p.rest = t.phrase
+  JOIN totals ON p.lang = totals.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_spans AS (
+  SELECT lang, f, array_to_string(words[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, f, words, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM split))),
+covered AS (SELECT lang, phrase, max(f) AS outside FROM inner_spans GROUP BY lang, phrase),
+free AS (SELECT best.* FROM best LEFT JOIN covered USING (lang, phrase) WHERE outside IS NULL OR 100 * outside < 100 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= {phrases.TOP}
+"""
+
 ORACLES = {
     "op4_sharding": OP4,
     "op9_licenses": OP9,
     "op10_quality": OP10,
+    "op12_nra_search": OP12,
+    "op13_son_phrases": OP13,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlift.llm import bpe, ctw, lattice, licenses, minhash, packing, quality, sharding, suffix_dedup, token_counts
+from termlift.llm import bpe, ctw, lattice, licenses, minhash, nra, packing, phrases, quality, sharding, spotsigs, suffix_dedup, token_counts
 from termlift.sources.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,6 +66,18 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_report(table(spark, sf, "documents"))
 
 
+def op11_spotsigs(spark: SparkSession, sf: str) -> DataFrame:
+    return spotsigs.followed(_documents(spark, sf, "doc_id", "text"))
+
+
+def op12_nra_search(spark: SparkSession, sf: str) -> DataFrame:
+    return nra.search(_documents(spark, sf, "doc_id", "text"), table(spark, sf, "benchmark").select("item_id", "text"))
+
+
+def op13_son_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.top_collocations(_documents(spark, sf, "text", "lang"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_bpe": op2_bpe,
@@ -77,4 +89,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_licenses": op9_licenses,
     "op10_quality": op10_quality,
+    "op11_spotsigs": op11_spotsigs,
+    "op12_nra_search": op12_nra_search,
+    "op13_son_phrases": op13_son_phrases,
 }
