@@ -46,8 +46,8 @@ TOP = 2000
 SHARDS = 32
 NO_LANGUAGE = "und"
 # Text of a block, and of the part of it that is split at a time.
-BLOCK_BYTES = 16 << 20
-SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 # The set of frequent hashes has this many cells, one bit each: 16 MB.
 CELL_BITS = 27
 BATCH_ROWS = 1 << 17
@@ -177,24 +177,33 @@ def held(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (cells[(cell >> np.uint64(6)).astype(np.int64)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _per_block(table: DataFrame, made: Callable[[Block, int], Iterator[list]], names: list[str], types: list[pa.DataType], kind: str) -> DataFrame:
-    """Rows from each block: `made` gives columns, which leave in batches."""
+def _per_block(table: DataFrame, made: Callable[[Block, int], Iterator[list]], names: list[str], types: list[pa.DataType], schema: str) -> DataFrame:
+    """Rows from each block: `made` gives columns, or one value for all rows, which leave in batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 values = {name: batch[name][row].as_py() for name in batch.schema.names}
                 for columns in made(Block(values), values["shard"]):
-                    for start in range(0, len(columns[0]), BATCH_ROWS):
-                        part = [column[start : start + BATCH_ROWS] for column in columns]
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, types)], names)
+                    size = len(columns[-1])
+                    for start in range(0, size, BATCH_ROWS):
+                        many = min(BATCH_ROWS, size - start)
+                        part = [
+                            pa.repeat(pa.scalar(column, kind), many) if isinstance(column, (str, int)) else pa.array(column[start : start + many], kind)
+                            for column, kind in zip(columns, types)
+                        ]
+                        yield pa.RecordBatch.from_arrays(part, names)
 
-    return table.mapInArrow(run, kind)
+    return table.mapInArrow(run, schema)
 
 
 def _frequent_cells(local: DataFrame, least: DataFrame) -> np.ndarray:
-    """The cells of all hashes that reach the local support in some shard."""
-    summed = local.groupBy("lang", "shard", "hash").agg(F.sum("n").alias("n"))
+    """The cells of all hashes that reach the local support in some shard.
+
+    A block gives a phrase once, so rows are dealt before they are summed: adding them up in the tasks that make
+    them would take memory and merge next to nothing.
+    """
+    summed = local.repartition("hash").groupBy("lang", "shard", "hash").agg(F.sum("n").alias("n"))
     frequent = summed.join(checked_broadcast(least), ["lang", "shard"]).filter(F.col("n") >= F.col("least"))
     cell = F.shiftrightunsigned("hash", 64 - CELL_BITS)
     bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - CELL_BITS}) & 63 as int))")
@@ -224,7 +233,7 @@ def candidate_cells(table: DataFrame, support: int, max_words: int) -> np.ndarra
         def made(block: Block, shard: int, length=length, shared=shared) -> Iterator[list]:
             _, hashes = block.candidates(length, shared.value)
             found, times = np.unique(hashes, return_counts=True)
-            yield [np.full(len(found), block.lang), np.full(len(found), shard, np.int32), found.view(np.int64), times]
+            yield [block.lang, shard, found.view(np.int64), times]
 
         types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
         local = _per_block(table, made, ["lang", "shard", "hash", "n"], types, "lang string, shard int, hash long, n long")
@@ -261,11 +270,11 @@ def frequent_phrases(
             for start in range(0, len(first), BATCH_ROWS):
                 part = first[start : start + BATCH_ROWS].tolist()
                 phrases = [block.phrase(one, length) for one in part]
-                yield [[block.lang] * len(part), pa.array(phrases, pa.binary()).cast(pa.string()), [length] * len(part), times[start : start + len(part)]]
+                yield [block.lang, pa.array(phrases, pa.binary()).cast(pa.string()), length, times[start : start + len(part)]]
 
     types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
     counts = _per_block(table, made, ["lang", "phrase", "words", "n"], types, "lang string, phrase string, words int, n long")
-    summed = counts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
+    summed = counts.repartition("phrase").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
     return written(summed, "frequent_phrases"), written(totals, "phrase_totals")
 
 
