@@ -8,7 +8,8 @@ the shard's share of the language's words; so each shard is mined completely at
 that local support, length by length: a phrase is counted only where both phrases
 that are one word shorter were frequent. Local counts are summed by Spark per
 (language, shard, hash), so a shard is no task and may be of any size. SHARDS is
-well below the support, else the local support would be one and nothing pruned.
+the same at every size and far below the support: with more shards the local
+support falls towards one and fewer phrases are pruned.
 
 What is frequent in some shard is kept as a set of hash cells of a fixed size
 (CELL_BITS); a cell that another phrase shares only lets a phrase through that is
@@ -23,14 +24,13 @@ of the input other than text and language are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
-from functools import reduce
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zlib
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ from termlift.plans.scale import checked_broadcast, written
 SUPPORT = 100
 MAX_WORDS = 5
 TOP = 2000
-SHARDS = 32
+SHARDS = 4
 NO_LANGUAGE = "und"
 # Text of a block, and of the part of it that is split at a time.
 BLOCK_BYTES = 8 << 20
