@@ -50,6 +50,8 @@ BLOCK_BYTES = 8 << 20
 SLICE_BYTES = 2 << 20
 # The set of frequent hashes has this many cells, one bit each: 16 MB.
 CELL_BITS = 27
+# While a shard is mined, a phrase is known by this many bits of its hash; equal ones add up, which prunes less but loses none.
+KEY_BITS = 40
 BATCH_ROWS = 1 << 17
 
 _PIECE_END = b"\n"
@@ -205,8 +207,8 @@ def _frequent_cells(local: DataFrame, least: DataFrame) -> np.ndarray:
     """
     summed = local.repartition("hash").groupBy("lang", "shard", "hash").agg(F.sum("n").alias("n"))
     frequent = summed.join(checked_broadcast(least), ["lang", "shard"]).filter(F.col("n") >= F.col("least"))
-    cell = F.shiftrightunsigned("hash", 64 - CELL_BITS)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - CELL_BITS}) & 63 as int))")
+    cell = F.shiftright("hash", KEY_BITS - CELL_BITS)
+    bit = F.expr(f"shiftleft(1L, cast(shiftright(hash, {KEY_BITS - CELL_BITS}) & 63 as int))")
     words = frequent.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
     found = words.toArrow()
     cells = np.zeros(1 << (CELL_BITS - 6), np.uint64)
@@ -232,11 +234,11 @@ def candidate_cells(table: DataFrame, support: int, max_words: int) -> np.ndarra
 
         def made(block: Block, shard: int, length=length, shared=shared) -> Iterator[list]:
             _, hashes = block.candidates(length, shared.value)
-            found, times = np.unique(hashes, return_counts=True)
-            yield [block.lang, shard, found.view(np.int64), times]
+            found, times = np.unique(hashes >> np.uint64(64 - KEY_BITS), return_counts=True)
+            yield [block.lang, shard, found.view(np.int64), times.astype(np.int32)]
 
-        types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
-        local = _per_block(table, made, ["lang", "shard", "hash", "n"], types, "lang string, shard int, hash long, n long")
+        types = [pa.string(), pa.int32(), pa.int64(), pa.int32()]
+        local = _per_block(table, made, ["lang", "shard", "hash", "n"], types, "lang string, shard int, hash long, n int")
         grown = _frequent_cells(local, least)
         shared.unpersist()
         if not grown.any():
