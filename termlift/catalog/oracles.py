@@ -67,13 +67,13 @@ _LINES = """
 
 _FEATURE_CTES = f"""
     tokens AS ({_terms(FEATURE_DELIMITERS)}),
+    docs AS (SELECT doc_id, lang AS category FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL),
     frequent AS (
       SELECT term, count(*) AS n, count(DISTINCT doc_id) AS df FROM tokens
       GROUP BY term HAVING count(DISTINCT doc_id) >= {settings.MIN_DOCUMENTS}),
     vocab AS (
       SELECT (row_number() OVER (ORDER BY n DESC, term ASC) - 1)::INTEGER AS featureIndex, term, n, df
       FROM frequent QUALIFY featureIndex < {settings.VOCABULARY_SIZE}),
-    docs AS (SELECT doc_id, lang AS category FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL),
     idf AS (
       SELECT featureIndex, term, df, ln(((SELECT count(*) FROM docs) + 1.0) / (df + 1.0)) AS idf FROM vocab),
     tf AS (
@@ -114,8 +114,8 @@ _P_VALUE_CTES = f"""
     {_STATISTIC_CTES},
     p_values AS (
       SELECT featureIndex, statistic, degreesOfFreedom,
-             round(CASE WHEN exact <= 0 THEN 1.0 ELSE least(1.0, list_sum(list_transform(range(0, degreesOfFreedom // 2),
-               lambda i: exp(i * ln(exact / 2) - exact / 2 - lgamma(i + 1))))) END, 6) AS pValue
+             CASE WHEN exact <= 0 THEN 1.0 ELSE least(1.0, list_sum(list_transform(range(0, degreesOfFreedom // 2),
+               lambda i: exp(i * ln(exact / 2) - exact / 2 - lgamma(i + 1))))) END AS exact_p, round(exact_p, 6) AS pValue
       FROM statistics WHERE degreesOfFreedom > 0)"""
 
 _SCALED_CTES = f"""{_FEATURE_CTES},
@@ -136,6 +136,35 @@ _LABELS = """
     labelled AS (
       SELECT category, (row_number() OVER (ORDER BY count(*) DESC, category) - 1)::DOUBLE AS label FROM parts GROUP BY category)"""
 
+def _drawn(table: str, seed: int, names: tuple[str, ...], shares: tuple[str, ...]) -> str:
+    """A draw of exact sizes: rows in the order of hash and key, cut at ranks."""
+    place = f"('0x' || substr(md5('{seed}:' || doc_id::VARCHAR), 1, 8))::BIGINT"
+    cases = " ".join(f"WHEN r < {share} THEN '{name}'" for name, share in zip(names, shares))
+    return f"""
+    SELECT doc_id, CASE {cases} ELSE '{names[-1]}' END AS part
+    FROM (SELECT *, row_number() OVER (ORDER BY {place}, doc_id::VARCHAR) - 1 AS r, count(*) OVER () AS n FROM {table})"""
+
+
+_DRAWN = f"""
+    usable AS (SELECT doc_id, lang AS category FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL),
+    drawn AS ({_drawn("usable", 42, ("train", "validation", "test"), ("n * 8 // 10", "n * 9 // 10"))}),
+    merged AS (SELECT doc_id FROM drawn WHERE part <> 'test'),
+    again AS ({_drawn("merged", 43, ("train", "validation"), ("n * 8 // 9",))})"""
+
+# Vocabulary and weights from the training part; the test part's terms keep their names.
+_HELDOUT_CTES = f"""
+    everything AS ({_terms(FEATURE_DELIMITERS)}),
+    {_PARTS},
+    learnt AS (SELECT everything.* FROM everything JOIN parts USING (doc_id) WHERE part = 'train'),
+    tested AS (SELECT everything.* FROM everything JOIN parts USING (doc_id) WHERE part = 'test'),
+    frequent AS (
+      SELECT term, count(*) AS n, count(DISTINCT doc_id) AS df FROM learnt
+      GROUP BY term HAVING count(DISTINCT doc_id) >= {settings.MIN_DOCUMENTS}),
+    vocab AS (
+      SELECT (row_number() OVER (ORDER BY n DESC, term ASC) - 1)::INTEGER AS featureIndex, term,
+             ln(((SELECT count(*) FROM parts WHERE part = 'train') + 1.0) / (df + 1.0)) AS idf
+      FROM frequent QUALIFY featureIndex < {settings.VOCABULARY_SIZE})"""
+
 _RECORDS = """
     SELECT doc_id, lang AS category, md5(text) AS digest
     FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL"""
@@ -174,6 +203,19 @@ ORACLES = {
         SELECT 2 * d.n + p.n AS lines, p.n AS unparsable, 2 * unlabelled AS no_category,
                d.n - unlabelled + empty AS no_text, d.n - unlabelled - empty AS kept
         FROM d, p""",
+    "rejected_lines": """
+        WITH lines AS (
+          SELECT CASE WHEN lang IS NULL THEN 'no_category' WHEN text IS NULL THEN 'no_text' ELSE 'kept' END AS reason,
+                 '' AS line, doc_id, lang, text FROM documents)
+        SELECT 'kept' AS reason, '' AS digest, count(*) AS n, count(*) AS positions FROM lines WHERE reason = 'kept'
+        UNION ALL
+        SELECT 'no_text', md5('{"category":"' || lang || '","doc_id":' || doc_id || '}'), count(*), count(*)
+        FROM documents WHERE lang IS NOT NULL GROUP BY ALL
+        UNION ALL
+        SELECT 'no_category', md5('{"reviewText":"' || replace(replace(replace(replace(replace(text, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), chr(9), '\\t'), chr(13), '\\r') || '"}'), count(*), count(*)
+        FROM documents WHERE text IS NOT NULL GROUP BY ALL
+        UNION ALL
+        SELECT 'unparsable', md5(translate(html, chr(13) || chr(10), '  ')), count(*), count(*) FROM pages GROUP BY ALL""",
     "text_scan": _RECORDS,
     "json_scan": _RECORDS,
     "stopword_table": f"""
@@ -237,11 +279,29 @@ ORACLES = {
         SELECT category, n, (row_number() OVER (ORDER BY n DESC, category ASC) - 1)::DOUBLE AS label
         FROM (SELECT lang AS category, count(*) AS n FROM documents
               WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY lang)""",
+    "label_index_by_source": """
+        SELECT category, n, (row_number() OVER (ORDER BY n DESC, category ASC) - 1)::DOUBLE AS label
+        FROM (SELECT source AS category, count(*) AS n FROM documents
+              WHERE source IS NOT NULL AND text IS NOT NULL GROUP BY source)""",
+    "labelled_rows": """
+        WITH numbers AS (
+          SELECT category, (row_number() OVER (ORDER BY count(*) DESC, category) - 1)::DOUBLE AS label
+          FROM (SELECT source AS category FROM documents WHERE source IS NOT NULL AND text IS NOT NULL) GROUP BY category)
+        SELECT doc_id, category, label FROM (
+          SELECT doc_id, source AS category FROM documents WHERE source IS NOT NULL AND text IS NOT NULL) JOIN numbers USING (category)""",
+    "heldout_tfidf": f"""
+        WITH {_HELDOUT_CTES}
+        SELECT doc_id, featureIndex, round(count(*) * any_value(idf), 6) AS weight
+        FROM tested JOIN vocab USING (term) WHERE idf <> 0 GROUP BY doc_id, featureIndex""",
+    "heldout_vocabulary": f"""
+        WITH {_HELDOUT_CTES}
+        SELECT parts.doc_id, count(tested.term)::INTEGER AS n_terms, (count(tested.term) - count(vocab.term))::INTEGER AS n_unknown
+        FROM parts LEFT JOIN tested USING (doc_id) LEFT JOIN vocab USING (term) WHERE part = 'test' GROUP BY parts.doc_id""",
     "feature_chi2": f"WITH {_STATISTIC_CTES} SELECT featureIndex, statistic, degreesOfFreedom FROM statistics",
-    "feature_chi2_test": f"WITH {_P_VALUE_CTES} SELECT * FROM p_values",
-    "feature_p_values": f"WITH {_P_VALUE_CTES} SELECT * FROM p_values",
+    "feature_chi2_test": f"WITH {_P_VALUE_CTES} SELECT * EXCLUDE (exact_p) FROM p_values",
+    "feature_p_values": f"WITH {_P_VALUE_CTES} SELECT * EXCLUDE (exact_p) FROM p_values",
     "select_by_pvalue": f"""
-        WITH {_P_VALUE_CTES} SELECT * FROM p_values ORDER BY pValue, featureIndex LIMIT {settings.SELECTED_FEATURES}""",
+        WITH {_P_VALUE_CTES} SELECT * EXCLUDE (exact_p) FROM p_values ORDER BY exact_p, featureIndex LIMIT {settings.SELECTED_FEATURES}""",
     "feature_chi2_rank": f"WITH {_STATISTIC_CTES} SELECT term, statistic FROM ranked",
     "score_sink_roundtrip": f"""
         WITH {_STATISTIC_CTES} SELECT term || chr(9) || printf('%.6f', statistic) AS line FROM ranked""",
@@ -255,6 +315,21 @@ ORACLES = {
     "model_roundtrip": f"WITH {_PARTS} SELECT doc_id, true AS same FROM parts WHERE part = 'test'",
     "random_split": """
         SELECT doc_id, lang AS category, true AS same FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL""",
+    "random_split_sizes": """
+        SELECT part, (SELECT count(*) FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL) AS rows, true AS in_bounds
+        FROM (VALUES ('train'), ('validation'), ('test')) p(part)""",
+    "drawn_split": f"""
+        WITH {_DRAWN}
+        SELECT doc_id, category, drawn.part, again.part AS tuning_part
+        FROM usable JOIN drawn USING (doc_id) LEFT JOIN again USING (doc_id)""",
+    "random_tuning": f"""
+        WITH {_DRAWN}
+        SELECT 2000 AS numTopFeatures, withStd, regParam::DOUBLE AS regParam, maxIter,
+               (SELECT count(*) FROM again WHERE part = 'train') AS train,
+               (SELECT count(*) FROM again WHERE part = 'validation') AS validation, true AS same
+        FROM (VALUES (true), (false)) s(withStd) CROSS JOIN (VALUES (0.01), (0.1), (1.0)) g(regParam)
+        CROSS JOIN (VALUES (5), (10)) i(maxIter)""",
+    "raw_text_scores": "SELECT doc_id, true AS same, true AS named FROM documents",
     "svm_predictions": f"""
         WITH {_PARTS}, {_LABELS}
         SELECT doc_id, label, true AS agrees FROM parts JOIN labelled USING (category) WHERE part = 'test'""",

@@ -21,6 +21,8 @@ from pyspark.sql import Window
 
 from termlift.functions.text import FEATURE_DELIMITERS, MIN_TERM_LENGTH
 from termlift.operators.counts import document_count, document_freq
+from termlift.operators.numbering import numbered
+from termlift.plans.scale import checked_broadcast
 from termlift.sources.tables import rows
 
 VOCABULARY_SIZE = 2000
@@ -95,12 +97,33 @@ def label_indexer(labelled: DataFrame, label: str = "category"):
 
 
 def label_index(labelled: DataFrame, label: str = "category") -> DataFrame:
-    """One row per label: the label, its row count `n` and its index `label`."""
-    counts = labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return label_indexer(labelled, label).transform(counts)
+    """One row per label: the label, its row count `n` and its index `label`, as `label_indexer` numbers them.
+
+    For any number of labels: they are numbered where they lie, and none goes to the driver.
+    """
+    counts = labelled.select(label).filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    return numbered(counts, "label", F.desc("n"), F.asc(label)).withColumn("label", F.col("label").cast("double"))
+
+
+def with_label(labelled: DataFrame, index: DataFrame, label: str = "category") -> DataFrame:
+    """Add the index of each row's label by a join with a `label_index` table; null for a label that is not in it.
+
+    A short table goes to the rows; a long one meets them by a shuffle, where adaptive
+    execution splits the rows of a frequent label.
+    """
+    return labelled.join(checked_broadcast(index.select(label, "label")), label, "left")
 
 
 def vocabulary_of(model: CountVectorizerModel, like: DataFrame) -> DataFrame:
     """A fitted vectorizer's vocabulary as `featureIndex, term`."""
     one = rows(like.sparkSession, [(model.vocabulary,)], "terms array<string>")
     return one.select(F.posexplode("terms").alias("featureIndex", "term"))
+
+
+def known_terms(counted: DataFrame, *keep: str) -> DataFrame:
+    """The kept columns with each row's number of terms, `n_terms`, and of those outside the vocabulary, `n_unknown`.
+
+    `counted` has `terms` and their `counts` by the vocabulary; the entries of a row's vector add up to its known terms.
+    """
+    known = F.aggregate(F.unwrap_udt("counts")["values"], F.lit(0.0), lambda total, x: total + x).cast("int")
+    return counted.select(*keep, F.size("terms").alias("n_terms"), (F.size("terms") - known).alias("n_unknown"))

@@ -12,10 +12,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termlift.operators.classify import classifier_pipeline, linear_svm, normalizer, one_vs_rest, scaler
+from termlift.operators.classify import normalizer, scaler
 from termlift.operators.evaluate import f1_evaluator
 from termlift.operators.selection import pvalue_ranking, pvalue_slicer
-from termlift.operators.split import SEED
+from termlift.operators.split import PARTS, TUNING_SEED, WEIGHTS, drawn_split
+from termlift.operators.svm import Setting, fit_all
 from termlift.sources.tables import rows
 
 _GRID_SCHEMA = "numTopFeatures int, withStd boolean, regParam double, maxIter int"
@@ -53,10 +54,19 @@ def param_grid(spark: SparkSession, grid: Grid) -> DataFrame:
 
 
 def tune_with_random_split(
-    train_validation: DataFrame, grid: Grid, train_ratio: float, seed: int = SEED, parallelism: int = 1
+    train_validation: DataFrame,
+    key: str,
+    grid: Grid,
+    weights: Sequence[float] = WEIGHTS[:2],
+    seed: int = TUNING_SEED,
+    parallelism: int = 1,
 ) -> DataFrame:
-    """F1 of each point on a random validation part, drawn once, with the work shared as in `tune_on_parts`."""
-    train, validation = train_validation.randomSplit([train_ratio, 1 - train_ratio], seed=seed)
+    """F1 of each point on a random validation part of exact size, drawn once, with the work shared as in `tune_on_parts`.
+
+    The draw depends on the keys and the seed, not on how the rows are partitioned.
+    """
+    drawn = drawn_split(train_validation, key, weights, seed, PARTS[:2])
+    train, validation = (drawn.filter(drawn.part == name).drop("part") for name in PARTS[:2])
     return tune_on_parts(train, validation, grid, parallelism)
 
 
@@ -65,34 +75,32 @@ def tune_on_parts(train: DataFrame, validation: DataFrame, grid: Grid, paralleli
 
     The chi-square test depends on no parameter and runs once. Each feature
     count and scaling is prepared once and kept for all SVM settings, where
-    fitting whole pipelines would repeat both for every point. Up to
-    `parallelism` fits run at a time.
+    fitting whole pipelines would repeat both for every point. All classes and
+    settings of it are trained in the same passes, and a setting with fewer
+    iterations is taken from the one with more. Up to `parallelism` preparations
+    run at a time.
     """
     spark = train.sparkSession
     evaluator = f1_evaluator()
     ranking = pvalue_ranking(train, max(grid.num_top_features))
-    results = []
-    for k in grid.num_top_features:
+    settings = [Setting(*one) for one in product(grid.reg_param, grid.max_iter)]
+
+    def scored(prepared: tuple[int, bool]) -> list[tuple]:
+        k, with_std = prepared
         slicer = pvalue_slicer(ranking, k)
-        for with_std in grid.with_std:
-            scaling = scaler(with_std).fit(slicer.transform(train))
-            prepare = PipelineModel([slicer, scaling, normalizer()])
-            fitting, checking = (prepare.transform(part).select("label", "normal").persist() for part in (train, validation))
-            settings = list(product(grid.reg_param, grid.max_iter))
-            at_once = min(parallelism, len(settings))
-
-            def validated(setting, fitting=fitting, checking=checking):
-                svm = one_vs_rest(linear_svm(*setting), max(1, parallelism // at_once))
-                return evaluator.evaluate(svm.fit(fitting).transform(checking))
-
-            try:
-                fitting.count()
-                with ThreadPool(at_once) as pool:
-                    scores = pool.map(inheritable_thread_target(spark)(validated), settings)
-            finally:
-                fitting.unpersist()
-                checking.unpersist()
-            results += [(k, with_std, *setting, float(f1)) for setting, f1 in zip(settings, scores)]
+        scaling = scaler(with_std).fit(slicer.transform(train))
+        prepare = PipelineModel([slicer, scaling, normalizer()])
+        models = fit_all(prepare.transform(train), settings)
+        checking = prepare.transform(validation).select("label", "normal").persist()
+        try:
+            scores = [evaluator.evaluate(models[setting].transform(checking)) for setting in settings]
+        finally:
+            checking.unpersist()
+        return [(k, with_std, *astuple(setting), float(f1)) for setting, f1 in zip(settings, scores)]
+
+    prepared = list(product(grid.num_top_features, grid.with_std))
+    with ThreadPool(max(1, min(parallelism, len(prepared)))) as pool:
+        results = [row for part in pool.map(inheritable_thread_target(spark)(scored), prepared) for row in part]
     return rows(spark, results, _METRIC_SCHEMA)
 
 
@@ -103,12 +111,14 @@ def best_point(metrics: DataFrame) -> Point:
     return Point(best.numTopFeatures, best.withStd, best.regParam, best.maxIter)
 
 
-def fit_point(
-    train: DataFrame, point: Point, parallelism: int = 1, ranking: Sequence[int] | None = None
-) -> PipelineModel:
+def fit_point(train: DataFrame, point: Point, ranking: Sequence[int] | None = None) -> PipelineModel:
     """The whole pipeline, fitted with one point's parameters; a ranking of the features made before is reused."""
     ranking = pvalue_ranking(train, point.num_top_features) if ranking is None else ranking
-    return classifier_pipeline(ranking, *astuple(point), parallelism).fit(train)
+    slicer = pvalue_slicer(ranking, point.num_top_features)
+    scaling = scaler(point.with_std).fit(slicer.transform(train))
+    prepare = PipelineModel([slicer, scaling, normalizer()])
+    setting = Setting(point.reg_param, point.max_iter)
+    return PipelineModel([*prepare.stages, fit_all(prepare.transform(train), [setting])[setting]])
 
 
 def best_params(model: PipelineModel, test: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from termlift.operators.split import PARTS, SEED, WEIGHTS, random_split, stable_split, union_all
+from termlift.operators.split import PARTS, SEED, drawn_split, stable_split, union_all
 from termlift.operators.tuning import (
     Grid,
     best_params,
@@ -33,29 +33,28 @@ def tuned_classifier(vectors: DataFrame, key: str, grid: Grid = Grid(), parallel
     try:
         train, validation, test = (parts.filter(parts.part == name).drop("part") for name in PARTS)
         metrics = tune_on_parts(train, validation, grid, parallelism)
-        return _refitted(union_all(train, validation), test, metrics, parallelism)
+        return _refitted(union_all(train, validation), test, metrics)
     finally:
         parts.unpersist()
 
 
 def randomly_tuned_classifier(
-    vectors: DataFrame, grid: Grid = Grid(), seed: int = SEED, parallelism: int = 1
+    vectors: DataFrame, key: str, grid: Grid = Grid(), seed: int = SEED, parallelism: int = 1
 ) -> Tuned:
-    """The same by random splits: the validation rows are merged back and drawn again by the tuner.
+    """The same by random draws of exact sizes: the validation rows are merged back and drawn again by the tuner.
 
-    The parts depend on how `vectors` is partitioned, and on nothing else but the seed.
+    The parts depend on the keys and the seed, not on how `vectors` is partitioned.
     """
-    data = vectors.select("label", "features").persist()
+    parts = drawn_split(vectors, key, seed=seed).select(key, "part", "label", "features").persist()
     try:
-        train, validation, test = random_split(data, WEIGHTS, seed)
-        ratio = WEIGHTS[0] / (WEIGHTS[0] + WEIGHTS[1])
+        train, validation, test = (parts.filter(parts.part == name).drop("part") for name in PARTS)
         merged = union_all(train, validation)
-        metrics = tune_with_random_split(merged, grid, ratio, seed, parallelism)
-        return _refitted(merged, test, metrics, parallelism)
+        metrics = tune_with_random_split(merged, key, grid, parallelism=parallelism)
+        return _refitted(merged, test, metrics)
     finally:
-        data.unpersist()
+        parts.unpersist()
 
 
-def _refitted(train: DataFrame, test: DataFrame, metrics: DataFrame, parallelism: int) -> Tuned:
-    model = fit_point(train, best_point(metrics), parallelism)
+def _refitted(train: DataFrame, test: DataFrame, metrics: DataFrame) -> Tuned:
+    model = fit_point(train, best_point(metrics))
     return Tuned(model, metrics, best_params(model, test))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,14 +16,21 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # Session setting: partitions to deal the input of a text pass to.
 INPUT_PARTITIONS = "spark.termlift.inputPartitions"
 
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables, which all executors share.
 
     It lies below `spark.checkpoint.dir`, else the folder given to
-    `SparkContext.setCheckpointDir`, else the warehouse.
+    `SparkContext.setCheckpointDir`. Unset, it lies below the warehouse where driver and
+    executors are one process; on a cluster the warehouse may be a folder of the driver's
+    machine, so there one of the two must be set.
     """
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if base is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/termlift/{context.applicationId}"
 
 
@@ -35,7 +43,28 @@ def discard_scratch(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the scratch folder that no other call gets."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.append(path)
+    return path
+
+
+# The scratch paths that this process has given out and not yet deleted, in order.
+_given: list[str] = []
+
+
+def scratch_paths() -> list[str]:
+    """The scratch paths given out so far that were not deleted."""
+    return list(_given)
+
+
+def delete_scratch(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete some scratch paths. DataFrames that still read them can no longer run."""
+    jvm = spark.sparkContext._jvm
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if name in _given:
+            _given.remove(name)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -51,13 +80,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def within(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """True if a table of strings and numbers is within both bounds; stops reading just beyond the first.
+    """True if a table is within both bounds; stops reading just beyond the first.
+
+    Strings and binaries count with their bytes, arrays, maps and structs with those of
+    their JSON form, all else with eight.
 
     The check is an action: give it a scan or another cheap plan.
     """
     size = F.lit(0)
     for field in df.schema:
-        width = F.octet_length(field.name) if field.dataType == T.StringType() else F.lit(8)
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = F.octet_length(column)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = F.octet_length(F.to_json(F.struct(column)))
+        else:
+            width = F.lit(8)
         size = size + F.coalesce(width, F.lit(0))
     seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
     return seen.rows <= max_rows and (seen.bytes or 0) <= max_bytes

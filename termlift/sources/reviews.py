@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from termlift.plans.scale import checked_broadcast, scratch_path, written
+
 REVIEW_SCHEMA = T.StructType(
     [T.StructField("category", T.StringType()), T.StructField("reviewText", T.StringType())]
 )
@@ -63,6 +67,62 @@ def rejected(parsed: DataFrame) -> DataFrame:
     )
 
 
+def reject_reason() -> Column:
+    """Why a parsed line is not used; null for a usable one. The reasons are those that `rejected` counts."""
+    return (
+        F.when(~F.col("parsed"), "unparsable")
+        .when(F.col("category").isNull(), "no_category")
+        .when(F.col("reviewText").isNull(), "no_text")
+    )
+
+
+@dataclass(frozen=True)
+class Scan:
+    """The usable records of a scan, and its rejected lines with reason and position."""
+
+    reviews: DataFrame
+    rejects: DataFrame
+
+
+def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> Scan:
+    """Tolerant scan with a side output: both come out of one pass over the lines.
+
+    The pass writes a table in two parts. `reviews` is what `read_reviews` gives. `rejects`
+    has a row per other line: `file`, `block` (the byte at which the line's split of the
+    file begins), `place` (the line's number in that split, from 0), `reason` and `line`.
+    Lines of a split are numbered as they are read, so file, block and place name one
+    line, and are the same whenever the file is split alike.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        F.col("value").alias("_line"),
+    )
+    parsed = parse_lines(lines, schema, "_line")
+    reason = reject_reason().alias("_reason")
+    line = F.when(reason.isNotNull(), F.col("_line")).alias("_line")
+    fields = [F.when(reason.isNull(), F.col(name)).alias(name) for name in schema.names]
+    where = scratch_path(spark, "scanned_lines")
+    parsed.select("_file", "_block", "_id", line, reason, *fields).withColumn(
+        "_rejected", F.col("_reason").isNotNull()
+    ).write.partitionBy("_rejected").parquet(where)
+    kinds = [T.StructField("_file", T.StringType()), T.StructField("_block", T.LongType()), T.StructField("_id", T.LongType())]
+    kinds += [T.StructField("_line", T.StringType()), T.StructField("_reason", T.StringType()), *schema.fields]
+    scanned = spark.read.schema(T.StructType([*kinds, T.StructField("_rejected", T.BooleanType())])).parquet(where)
+    # A row per split.
+    starts = scanned.groupBy("_file", "_block").agg(F.min("_id").alias("_first"))
+    found = scanned.filter("_rejected").join(checked_broadcast(written(starts, "splits")), ["_file", "_block"])
+    rejects = found.select(
+        F.col("_file").alias("file"),
+        F.col("_block").alias("block"),
+        (F.col("_id") - F.col("_first")).alias("place"),
+        F.col("_reason").alias("reason"),
+        F.col("_line").alias("line"),
+    )
+    return Scan(scanned.filter("NOT _rejected").select(*schema.names), rejects)
+
+
 def read_reviews(spark: SparkSession, path: str, schema: T.StructType = REVIEW_SCHEMA) -> DataFrame:
     """Tolerant scan: the schema's fields of the usable lines.
 

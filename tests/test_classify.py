@@ -53,7 +53,7 @@ def test_the_feature_test_runs_once_for_all_points(parts, monkeypatch):
     real = tuning.pvalue_ranking
     monkeypatch.setattr(tuning, "pvalue_ranking", lambda *a: calls.append(a) or real(*a))
     train, validation, _ = parts
-    tuning.tune_with_random_split(split.union_all(train, validation), tuning.Grid((20, 30), (True,), (0.1,), (2,)), 0.8)
+    tuning.tune_with_random_split(split.union_all(train, validation), "doc_id", tuning.Grid((20, 30), (True,), (0.1,), (2,)))
     assert len(calls) == 1
 
 
@@ -114,7 +114,7 @@ def test_tuned_model_beats_the_majority_and_reloads(spark, features, parts):
 
 def test_random_tuning_repeats_with_the_seed(features):
     grid = tuning.Grid((30,), (True,), (0.1, 1.0), (2,))
-    once, again = (randomly_tuned_classifier(features.vectors, grid, parallelism=2) for _ in range(2))
+    once, again = (randomly_tuned_classifier(features.vectors, "doc_id", grid, parallelism=2) for _ in range(2))
     assert once.best.first() == again.best.first()
     assert once.metrics.count() == 2
     assert {row.f1 for row in once.metrics.collect()} == {row.f1 for row in again.metrics.collect()}
