@@ -112,13 +112,11 @@ def _hashed(classes: DataFrame, tables: int, probes: int, width: float) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.asarray(pc.list_value_length(batch["e_vec"]))
+            sizes = np.asarray(pc.list_value_length(batch["e_unit"]))
             for length in np.unique(sizes):
                 rows = np.flatnonzero(sizes == length)
                 part = batch.take(pa.array(rows))
-                matrix = np.asarray(part["e_vec"].flatten()).reshape(len(rows), length)
-                matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)
-                unit = matrix / np.sqrt((matrix**2).sum(axis=1, keepdims=True))
+                unit = np.asarray(part["e_unit"].flatten()).reshape(len(rows), length)
                 for start in range(0, len(rows), 1024):
                     some = part.slice(start, 1024)
                     for number, names in cells(unit[start : start + 1024], tables, probes, width):
@@ -132,12 +130,20 @@ def _hashed(classes: DataFrame, tables: int, probes: int, width: float) -> DataF
     kind = classes.schema["e_label"].dataType.simpleString()
     rep = classes.schema["rep"].dataType.simpleString()
     schema = f"e_label {kind}, rep {rep}, tab int, cell binary, own boolean"
-    return classes.select("e_label", "rep", "e_vec").mapInArrow(run, schema)
+    return classes.select("e_label", "rep", "e_unit").mapInArrow(run, schema)
+
+
+def _unit(vector: str) -> Column:
+    """The vector divided by its largest component, then by its length, so that neither overflows nor vanishes."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    scaled = F.transform(vector, lambda x: x / largest)
+    squares = F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x)
+    return F.transform(scaled, lambda x: x / F.sqrt(squares))
 
 
 def _cosine() -> Column:
-    dot = F.aggregate(F.zip_with("vec_a", "vec_b", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-    return dot / (F.col("norm_a") * F.col("norm_b"))
+    """Of unit vectors."""
+    return F.aggregate(F.zip_with("unit_a", "unit_b", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
 
 def near_links(
@@ -152,16 +158,14 @@ def near_links(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classes of equal vectors, their members, and the linked pairs of classes, as written tables.
 
-    Classes: rep (the smallest key), e_label, e_vec, norm, copies. Members: key,
+    Classes: rep (the smallest key), e_label, e_vec, e_unit, copies. Members: key,
     rep. Pairs: rep_a < rep_b, each found once.
     """
     usable = _keyed(vectors, key, vector, label).filter(_comparable())
     # Adding zero turns a negative zero into a positive one, so equal vectors are equal as groups.
     usable = usable.withColumn("e_vec", F.transform("e_vec", lambda x: x + F.lit(0.0)))
     grouped = usable.groupBy("e_label", "e_vec").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    largest = F.array_max(F.transform("e_vec", F.abs))
-    norm = largest * F.sqrt(F.aggregate("e_vec", F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest)))
-    classes = written(grouped.withColumn("norm", norm), "vector_classes")
+    classes = written(grouped.withColumn("e_unit", _unit("e_vec")), "vector_classes")
     members = written(usable.join(classes, ["e_label", "e_vec"]).select("key", "rep"), "vector_members")
 
     hashed = written(_hashed(classes, tables, probes, width), "vector_cells")
@@ -171,9 +175,9 @@ def near_links(
     pairs = met.select(F.least("x", "y").alias("rep_a"), F.greatest("x", "y").alias("rep_b")).distinct()
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("rep").alias(f"rep_{name}"), F.col("e_vec").alias(f"vec_{name}"), F.col("norm").alias(f"norm_{name}"))
+        return classes.select(F.col("rep").alias(f"rep_{name}"), F.col("e_unit").alias(f"unit_{name}"))
 
-    compared = pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").filter(F.size("vec_a") == F.size("vec_b"))
+    compared = pairs.join(side("a"), "rep_a").join(side("b"), "rep_b").filter(F.size("unit_a") == F.size("unit_b"))
     links = compared.filter(_cosine() >= threshold).select("rep_a", "rep_b")
     return classes, members, written(links, "vector_links")
 

@@ -139,7 +139,8 @@ def confirmed(
             yield pa.RecordBatch.from_arrays([part["a"], part["b"]], ["a", "b"])
 
     kind = edges.schema["a"].dataType.simpleString()
-    paired = edges.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    # Texts are dealt by key at every size, and both sides read the same exchange.
+    paired = edges.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "text_a", "text_b")
     return paired.mapInArrow(run, f"a {kind}, b {kind}")
 
 
@@ -221,7 +222,7 @@ def across(placed: DataFrame, texts: DataFrame, linked: Callable[[pa.Table], pa.
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda other: F.struct(F.least(own, other).alias("i"), F.greatest(own, other).alias("j")),
     )
-    dealt = rows.select("band", "rep", "part", F.inline(pair)).join(texts, "rep")
+    dealt = rows.select("band", "rep", "part", F.inline(pair)).hint("merge").join(texts, "rep")
     kind = placed.schema["part"].dataType.simpleString()
     return dealt.groupBy("band", "i", "j").applyInArrow(linked, f"a {kind}, b {kind}").distinct()
 

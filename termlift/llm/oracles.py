@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from termlift.llm import licenses, nra, phrases, quality, sharding
+from termlift.llm.queries import SHARD_BYTES
 
 GAP = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -23,10 +24,10 @@ tried AS (SELECT hashed.*, depth, substr(bits, 1, depth) AS shard FROM hashed, (
 sizes AS (
   SELECT depth, shard, sum(n_bytes) AS bytes, count(DISTINCT bits) AS hashes FROM tried GROUP BY depth, shard),
 chosen AS (
-  SELECT doc_id, n_bytes, depth, shard, bytes > {sharding.SHARD_BYTES} AS oversized,
+  SELECT doc_id, n_bytes, depth, shard, bytes > {SHARD_BYTES} AS oversized,
          row_number() OVER (PARTITION BY doc_id, bits ORDER BY depth) AS nth
   FROM tried JOIN sizes USING (depth, shard)
-  WHERE bytes <= {sharding.SHARD_BYTES} OR hashes = 1 OR depth = {sharding.HASH_BITS})
+  WHERE bytes <= {SHARD_BYTES} OR hashes = 1 OR depth = {sharding.HASH_BITS})
 SELECT doc_id, shard, depth::INTEGER AS depth, n_bytes, oversized FROM chosen WHERE nth = 1
 """
 

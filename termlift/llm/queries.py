@@ -10,6 +10,8 @@ from termlift.llm import bpe, ctw, lattice, licenses, minhash, nra, packing, phr
 from termlift.sources.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+# The byte limit of a shard here. Small enough that tables of a few megabytes split too; 64 MiB is the default.
+SHARD_BYTES = 512 * 1024
 
 
 def _documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
@@ -29,7 +31,7 @@ def op3_ctw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    placed = sharding.shard(_documents(spark, sf, "doc_id", "text"))
+    placed = sharding.shard(_documents(spark, sf, "doc_id", "text"), limit=SHARD_BYTES)
     return placed.select(
         "doc_id",
         F.col("s_shard").alias("shard"),

@@ -211,3 +211,15 @@ def test_nearest_lattice_point_is_the_nearest():
     around = found[:, None, :] + lattice.roots()[None]
     own = ((points - found) ** 2).sum(axis=1)
     assert (own[:, None] <= ((points[:, None, :] - around) ** 2).sum(axis=2) + 1e-9).all()
+
+
+@pytest.mark.parametrize("scale", [1e-300, 1e-200, 1.0, 1e200, 1e300])
+def test_vectors_of_any_size_are_compared(spark, scale):
+    """Near copies link and unlike vectors do not, however small or large the components are."""
+    dealer = np.random.default_rng(5)
+    base = dealer.standard_normal((6, 16))
+    near = base + 0.01 * dealer.standard_normal((6, 16))
+    vectors = np.concatenate([base, near]) * scale
+    table = rows(spark, [(i, vector.tolist(), 1) for i, vector in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = {row.vec_id: (row.n_links, row.component_id) for row in lattice.near_duplicates(table).collect()}
+    assert got == {i: (1, i % 6) for i in range(12)}
