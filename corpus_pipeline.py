@@ -2,19 +2,31 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 and read again before the next one. All stages but the last return the columns
-of `documents`.
+of `documents`. What a stage keeps in the scratch folder is needed until its result
+is written, so the next stage deletes it when it begins; results are not deleted by
+stages, and `run` deletes each when the one after it is written.
+
+Defined results: an empty table gives an empty result; rows with a null id stay in
+all stages but are not compared with others; of rows with equal ids the near-duplicate
+stage keeps one; null texts fail the quality rules; further columns of `documents`
+pass through all stages but the last, whatever their names. Ids are whole numbers.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termlift.llm import bpe, minhash, packing, quality, suffix_dedup
 from termlift.llm.queries import TOKENIZER
-from termlift.plans.scale import written
+from termlift.plans.scale import delete_scratch, scratch_paths, written
 from termlift.sources.tables import table
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
 
@@ -22,6 +34,24 @@ SIMILARITY_PERCENT = 80
 ORACLE_SQL = None
 
 
+# What the last stage that ran has put into the scratch folder.
+_left: list[str] = []
+
+
+def _freeing(stage: Stage) -> Stage:
+    """The stage, which first deletes what the one before it kept for itself."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_scratch(spark, _left)
+        before = set(scratch_paths())
+        result = stage(spark, docs, sf_dir)
+        _left[:] = [path for path in scratch_paths() if path not in before]
+        return result
+
+    return run_stage
+
+
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents inside the thresholds of their language and source."""
     return quality.quality_filter(docs)
@@ -44,16 +74,21 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("quality_rules", keep_good_quality),
-    ("minhash_near_dedup", keep_one_of_near_duplicates),
-    ("suffix_array_dedup", cut_repeated_passages),
-    ("packing", pack_sequences),
+    ("quality_rules", _freeing(keep_good_quality)),
+    ("minhash_near_dedup", _freeing(keep_one_of_near_duplicates)),
+    ("suffix_array_dedup", _freeing(cut_repeated_passages)),
+    ("packing", _freeing(pack_sequences)),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each result is a written table."""
-    docs = table(spark, sf_dir, "documents")
+    docs, former = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        result = stage(spark, docs, sf_dir)
+        before = set(scratch_paths())
+        docs = written(result, name)
+        delete_scratch(spark, former)
+        former = [path for path in scratch_paths() if path not in before]
+    delete_scratch(spark, _left)
     return docs
