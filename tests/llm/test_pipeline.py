@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from termlift.llm.queries import TOKENIZER
-from termlift.plans.scale import written
+from termlift.plans.scale import scratch_paths, written
 from termlift.sources.tables import rows
 from tests.llm.conftest import words
 from tests.llm.test_dedup import brute_removal, plain_set
@@ -54,5 +54,33 @@ def test_stages_do_their_part(spark, corpus, tmp_path):
 
 
 def test_whole_run_equals_its_stages(spark, corpus, tmp_path):
+    """The rows of a run are those of the stages, each written by hand, and only the last result is left in the scratch folder."""
     rows(spark, corpus, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().count() > 50
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+    order = ["doc_id", "start"]
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    before = set(scratch_paths())
+    whole = corpus_pipeline.run(spark, str(tmp_path))
+    assert len(set(scratch_paths()) - before) == 1
+    got, expected = (one.select(*columns).orderBy(*order).collect() for one in (whole, docs))
+    assert got == expected and len({row.doc_id for row in got}) > 50
+
+
+def test_empty_repeated_and_clashing_rows(spark, corpus, tmp_path):
+    schema = SCHEMA + ", q_n_words string, component_id long, kept boolean, block long"
+    extra = [(*row, "x", 5, False, 7) for row in [*corpus[:8], corpus[0], (None, corpus[9][1], "en", "web", None)]]
+    for name, values in (("none", []), ("some", extra)):
+        folder = tmp_path / name
+        docs = rows(spark, values, schema)
+        for place, (stage_name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, docs, str(folder)).write.parquet(str(folder / stage_name))
+            docs = spark.read.parquet(str(folder / stage_name))
+            if place < 3:
+                assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "q_n_words", "component_id", "kept", "block"]
+            if place in (1, 2) and values:
+                ids = [row.doc_id for row in docs.collect()]
+                assert len(ids) == len(set(ids)) and set(ids) == {*range(8), None}
+        assert docs.count() == 0 if not values else docs.count() > 8
