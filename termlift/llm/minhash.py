@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from termlift.llm.bpe import texts_as_bytes
 from termlift.llm.components import components
 from termlift.llm.shingles import mixed, shingle_set
-from termlift.plans.scale import checked_broadcast, written
+from termlift.plans.scale import written
 
 WIDTH = 3
 PERCENT = 85
@@ -240,8 +240,8 @@ def classes_of(docs: DataFrame, key: str, text: str, width: int, percent: int) -
     star = crowd.filter("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     tried = _possible(star, classes.select("rep", "n"), percent)
 
-    # A short list of ids goes to the texts; a long one meets them by a shuffle.
-    wanted = checked_broadcast(written(crowd.select("rep").distinct(), "minhash_wanted"))
+    # The list of ids grows with the documents, so it meets the texts by a shuffle at every size.
+    wanted = written(crowd.select("rep").distinct(), "minhash_wanted").hint("merge")
     first = docs.select(F.col(key), F.col(text)).join(wanted, F.col(key) == F.col("rep"), "left_semi")
     # A repeated row would repeat its edges only; one text per id is enough.
     texts = texts_as_bytes(first, text, key).withColumnRenamed(key, "rep").dropDuplicates(["rep"])
