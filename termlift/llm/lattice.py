@@ -133,12 +133,24 @@ def _hashed(classes: DataFrame, tables: int, probes: int, width: float) -> DataF
     return classes.select("e_label", "rep", "e_unit").mapInArrow(run, schema)
 
 
-def _unit(vector: str) -> Column:
-    """The vector divided by its largest component, then by its length, so that neither overflows nor vanishes."""
-    largest = F.array_max(F.transform(vector, F.abs))
-    scaled = F.transform(vector, lambda x: x / largest)
-    squares = F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x)
-    return F.transform(scaled, lambda x: x / F.sqrt(squares))
+def _with_unit(classes: DataFrame) -> DataFrame:
+    """Add `e_unit`: the vector divided by its largest component, then by its length, so neither overflows nor vanishes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sizes = np.asarray(pc.list_value_length(batch["e_vec"]))
+            ends = np.cumsum(sizes)
+            row, first = np.repeat(np.arange(len(sizes)), sizes), ends - sizes
+            flat = np.asarray(batch["e_vec"].flatten())
+            scaled = flat / np.maximum.reduceat(np.abs(flat), first)[row]
+            unit = scaled / np.sqrt(np.add.reduceat(scaled * scaled, first))[row]
+            made = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(unit))
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "e_unit"])
+
+    kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in classes.schema)
+    return classes.mapInArrow(run, f"{kinds}, e_unit array<double>")
 
 
 def _cosine() -> Column:
@@ -165,7 +177,7 @@ def near_links(
     # Adding zero turns a negative zero into a positive one, so equal vectors are equal as groups.
     usable = usable.withColumn("e_vec", F.transform("e_vec", lambda x: x + F.lit(0.0)))
     grouped = usable.groupBy("e_label", "e_vec").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = written(grouped.withColumn("e_unit", _unit("e_vec")), "vector_classes")
+    classes = written(_with_unit(grouped), "vector_classes")
     members = written(usable.join(classes, ["e_label", "e_vec"]).select("key", "rep"), "vector_members")
 
     hashed = written(_hashed(classes, tables, probes, width), "vector_cells")
