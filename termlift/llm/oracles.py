@@ -78,26 +78,11 @@ _MEASURES = {
 }
 _LONG = " UNION ALL ".join(
     f"SELECT lang, source, doc_id, '{name}' AS measure, CASE WHEN {whole} > 0 THEN {part} * 1000 // {whole} ELSE 0 END AS v, "
-    f"{quality.MARGINS[name]} AS margin, {name in quality.LOW_SIDE} AS low_side FROM counts"
+    f"{1000 * quality.EVENTS * quality.UNITS[name]} // greatest({whole}, 1) AS chance, {name in quality.LOW_SIDE} AS low_side FROM counts"
     for name, (part, whole) in _MEASURES.items()
 )
 
 
-def _fences(keys: str) -> str:
-    return f"""
-    SELECT {keys}, measure, max(n_all) AS n,
-           min(CASE WHEN upto * 4 >= n_all * 2 THEN bucket END)
-             - {quality.SPREAD} * (min(CASE WHEN upto * 4 >= n_all * 3 THEN bucket END) - min(CASE WHEN upto * 4 >= n_all THEN bucket END))
-             - max(margin) AS low,
-           min(CASE WHEN upto * 4 >= n_all * 2 THEN bucket END)
-             + {quality.SPREAD} * (min(CASE WHEN upto * 4 >= n_all * 3 THEN bucket END) - min(CASE WHEN upto * 4 >= n_all THEN bucket END))
-             + max(margin) AS high
-    FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}, measure ORDER BY bucket) AS upto,
-                 sum(n) OVER (PARTITION BY {keys}, measure) AS n_all
-          FROM (SELECT {keys}, measure, bucket, count(*) AS n, max(margin) AS margin FROM bucketed GROUP BY {keys}, measure, bucket))
-    GROUP BY {keys}, measure"""
-
-
 OP10 = f"""
 WITH cut AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS t,
@@ -121,14 +106,29 @@ counts AS (
   FROM cut LEFT JOIN repeated ON cut.doc_id = repeated.doc_id),
 bucketed AS (
   SELECT *, v // (1::BIGINT << greatest(length(bin(v)) - 6, 0)) * (1::BIGINT << greatest(length(bin(v)) - 6, 0)) AS bucket FROM ({_LONG})),
-fine AS ({_fences("lang, source")}),
-wide AS ({_fences("lang")}),
+fine AS (SELECT lang, source, measure, bucket, low_side, count(*)::HUGEINT AS n FROM bucketed GROUP BY ALL),
+in_lang AS (SELECT lang, count(*)::HUGEINT AS all_docs FROM documents GROUP BY lang),
+shares AS (
+  SELECT f.lang, source, measure, bucket, low_side, n * all_docs AS n
+  FROM fine f JOIN in_lang l ON f.lang IS NOT DISTINCT FROM l.lang
+  UNION ALL
+  SELECT s.lang, s.source, measure, bucket, low_side, {quality.PRIOR} * n
+  FROM (SELECT DISTINCT lang, source FROM documents) s JOIN fine f ON f.lang IS NOT DISTINCT FROM s.lang),
+running AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, source, measure) AS whole
+  FROM (SELECT lang, source, measure, bucket, low_side, sum(n) AS n FROM shares GROUP BY ALL)),
+quantiles AS (
+  SELECT lang, source, measure, low_side, min(bucket) FILTER (5 * upto >= {5 - quality.UPPER} * whole) AS lower_q,
+         min(bucket) FILTER (2 * upto >= whole) AS middle, min(bucket) FILTER (5 * upto >= {quality.UPPER} * whole) AS upper_q
+  FROM running GROUP BY ALL),
+fences AS (
+  SELECT lang, source, measure, CASE WHEN low_side THEN lower_q - {quality.SPREAD} * (middle - lower_q) ELSE 0 END AS low,
+         upper_q + {quality.SPREAD} * (upper_q - middle) AS high
+  FROM quantiles),
 verdict AS (
-  SELECT doc_id, bool_and(v BETWEEN CASE WHEN NOT low_side THEN 0 WHEN fine.n < {quality.MIN_GROUP} THEN wide.low ELSE fine.low END
-                          AND CASE WHEN fine.n < {quality.MIN_GROUP} THEN wide.high ELSE fine.high END) AS inside
+  SELECT doc_id, bool_and(v BETWEEN low - chance AND high + chance) AS inside
   FROM bucketed b
-  JOIN fine ON b.lang IS NOT DISTINCT FROM fine.lang AND b.source IS NOT DISTINCT FROM fine.source AND b.measure = fine.measure
-  JOIN wide ON b.lang IS NOT DISTINCT FROM wide.lang AND b.measure = wide.measure
+  JOIN fences f ON b.lang IS NOT DISTINCT FROM f.lang AND b.source IS NOT DISTINCT FROM f.source AND b.measure = f.measure
   GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words) AS base_failed,

@@ -1,15 +1,21 @@
 """Quality rules whose thresholds come from quantile sketches of each language and source.
 
-Words are runs of `[^\\x20\\x09-\\x0D]`. Each feature is an integer per mille; a
-sketch is a histogram over buckets whose width grows with the value (32 buckets
-for each power of two, so a quantile is at most 1/32 too low). Sketches are
-merged by adding counts, so they combine before the shuffle and a hot source
-costs no more than any other. A value is an outlier when it lies beyond
-
-    median +- (SPREAD * (upper quartile - lower quartile) + margin)
-
-of its language and source, or of its language where the source has fewer than
-MIN_GROUP documents. Everything is SQL expressions; no Python runs on rows.
+Words are runs of `[^\\x20\\x09-\\x0D]`. Each measure is a part per mille of a
+whole; a sketch is a histogram over buckets whose width grows with the value (32
+buckets for each power of two, so a quantile is at most 1/32 too low). Sketches
+are merged by adding counts, so they combine before the shuffle and a hot source
+costs no more than any other. The sketch of a language and source is its own plus
+the language's, scaled to the weight of PRIOR documents, so that small sources lean
+on their language and the fences move smoothly as a source grows. A value is an
+outlier when it lies beyond
+
+    upper quantile + SPREAD * (upper quantile - median),    UPPER of five parts of the documents lie below,
+
+and for word lengths also below the same from the lower quantile. Fences hold no
+fixed distance; what is fixed is the count that no document is judged by, EVENTS
+times what one event adds (UNITS): four symbols, repeated lines or the like more
+than the fence allows for the text's length may be chance. As the quantile is an
+order statistic, up to a fifth of a group may be outliers and not move its fence.
 
 Defined results: a null text counts as empty; empty texts have no words and
 fail the base rule; null languages and sources are groups of their own; repeated
@@ -32,10 +38,14 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
+# Upper and lower quantiles: UPPER and 5 - UPPER fifths.
+UPPER = 4
 SPREAD = 4
-MIN_GROUP = 50
-# Per-mille distance from the fence that is always allowed, so that narrow groups keep clean documents.
-MARGINS = {"symbols": 150, "word_length": 3000, "repeats": 300, "dup_lines": 400, "capitals": 350}
+# Documents that the language's sketch counts as in the sketch of each of its sources.
+PRIOR = 20
+EVENTS = 4
+# What one event adds to a measure's part: a symbol, a long token, a repeated window, a line, a capital.
+UNITS = {"symbols": 1, "word_length": 25, "repeats": 2 * WINDOW, "dup_lines": 1, "capitals": 1}
 LOW_SIDE = ("word_length",)
 
 
@@ -97,15 +107,21 @@ def _per_mille(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.floor(part * 1000 / whole)).otherwise(F.lit(0)).cast("long")
 
 
+# Each measure's part and whole.
 MEASURES = {
-    "symbols": lambda: _per_mille(F.col("q_n_symbols"), F.col("q_n_words")),
-    "word_length": lambda: _per_mille(F.col("q_word_chars"), F.col("q_n_words")),
-    "repeats": lambda: _per_mille(F.col("q_n_repeat_words"), F.col("q_n_words")),
-    "dup_lines": lambda: _per_mille(F.col("q_n_dup_lines"), F.col("q_n_lines")),
-    "capitals": lambda: _per_mille(F.col("q_n_capitals"), F.col("q_word_chars")),
+    "symbols": ("q_n_symbols", "q_n_words"),
+    "word_length": ("q_word_chars", "q_n_words"),
+    "repeats": ("q_n_repeat_words", "q_n_words"),
+    "dup_lines": ("q_n_dup_lines", "q_n_lines"),
+    "capitals": ("q_n_capitals", "q_word_chars"),
 }
 
 
+def _value(name: str) -> Column:
+    part, whole = MEASURES[name]
+    return _per_mille(F.col(part), F.col(whole))
+
+
 def base_failed() -> Column:
     words = F.col("q_n_words")
     return (words < MIN_WORDS) | (100 * F.col("q_n_repeat_words") > MAX_REPEAT_PERCENT * words)
@@ -120,7 +136,7 @@ def bucket(value: Column) -> Column:
 
 def sketches(measured: DataFrame, keys: list[str]) -> DataFrame:
     """Bucket counts of every measure by `keys`: keys, measure, bucket, n."""
-    named = [F.struct(F.lit(name).alias("measure"), bucket(made()).alias("bucket")) for name, made in MEASURES.items()]
+    named = [F.struct(F.lit(name).alias("measure"), bucket(_value(name)).alias("bucket")) for name in MEASURES]
     rows = measured.select(*keys, F.inline(F.array(*named)))
     return rows.groupBy(*keys, "measure", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
@@ -130,49 +146,61 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
+def blended(fine: DataFrame) -> DataFrame:
+    """The sketch of each language and source, with its language's added at the weight of PRIOR documents.
+
+    Own counts are multiplied by the language's documents and the language's by PRIOR,
+    which keeps whole numbers; they are decimals, as products may pass 64 bits.
+    """
+    key = ["q_lang", "q_source"]
+    wide = merged(fine, ["q_lang"]).select(F.col("q_lang").alias("q_l"), "measure", "bucket", "n")
+    documents = fine.filter(F.col("measure") == next(iter(MEASURES)))
+    of_lang = documents.groupBy(F.col("q_lang").alias("q_l")).agg(F.sum("n").alias("in_lang"))
+    same = F.col("q_lang").eqNullSafe(F.col("q_l"))
+
+    def weight(count: Column, times: Column) -> Column:
+        return (count.cast("decimal(19,0)") * times.cast("decimal(18,0)")).cast("decimal(38,0)").alias("n")
+
+    own = fine.join(of_lang, same).select(*key, "measure", "bucket", weight(F.col("n"), F.col("in_lang")))
+    lent = documents.select(*key).distinct().join(wide, same).select(*key, "measure", "bucket", weight(F.col("n"), F.lit(PRIOR)))
+    return merged(own.unionByName(lent), key)
+
+
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """One row by `keys`: documents `n` and a map of each measure to its lowest and highest allowed value.
+    """One row by `keys`: a map of each measure to its lowest and highest value before the EVENTS allowed.
 
     A window holds one row per bucket, of which there are 32 for each power of two.
     """
     group = Window.partitionBy(*keys, "measure")
     seen = sketch.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("all", F.sum("n").over(group))
-    picked = seen.groupBy(*keys, "measure").agg(
-        F.max("all").alias("n"),
-        *(
-            F.min(F.when(F.col("upto") * 4 >= F.col("all") * quarter, F.col("bucket"))).alias(f"q{quarter}")
-            for quarter in (1, 2, 3)
-        ),
-    )
-    margin = F.create_map(*(F.lit(x) for pair in MARGINS.items() for x in pair))[F.col("measure")]
-    reach = SPREAD * (F.col("q3") - F.col("q1")) + margin
-    low = F.when(F.col("measure").isin(*LOW_SIDE), F.col("q2") - reach).otherwise(F.lit(0))
-    fence = F.struct(low.cast("long").alias("low"), (F.col("q2") + reach).cast("long").alias("high"))
+
+    def quantile(part: int, of: int, name: str) -> Column:
+        return F.min(F.when(F.col("upto") * of >= F.col("all") * part, F.col("bucket"))).alias(name)
+
+    picked = seen.groupBy(*keys, "measure").agg(quantile(5 - UPPER, 5, "lower"), quantile(1, 2, "middle"), quantile(UPPER, 5, "upper"))
+    low = F.when(F.col("measure").isin(*LOW_SIDE), F.col("lower") - SPREAD * (F.col("middle") - F.col("lower"))).otherwise(F.lit(0))
+    high = F.col("upper") + SPREAD * (F.col("upper") - F.col("middle"))
+    fence = F.struct(low.cast("long").alias("low"), high.cast("long").alias("high"))
     pairs = F.collect_list(F.struct("measure", fence.alias("fence")))
-    return picked.groupBy(*keys).agg(F.max("n").alias("n"), F.map_from_entries(pairs).alias("fences"))
+    return picked.groupBy(*keys).agg(F.map_from_entries(pairs).alias("fences"))
 
 
 def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Fences of each language and source as a written table: q_lang, q_source, q_fences.
-
-    Small sources take the fences of their language, whose sketch is the sum of its sources' sketches.
-    """
+    """Fences of each language and source as a written table: q_lang, q_source, q_fences."""
     counts = [name for name in measured.columns if name.startswith("q_")]
     keyed = measured.select(F.col(lang).alias("q_lang"), F.col(source).alias("q_source"), *counts)
     fine = written(sketches(keyed, ["q_lang", "q_source"]), "quality_sketches")
-    coarse = fences(merged(fine, ["q_lang"]), ["q_lang"]).select(F.col("q_lang").alias("q_l"), F.col("fences").alias("wide"))
-    own = fences(fine, ["q_lang", "q_source"])
-    chosen = own.join(coarse, F.col("q_lang").eqNullSafe(F.col("q_l")))
-    fence = F.when(F.col("n") < MIN_GROUP, F.col("wide")).otherwise(F.col("fences"))
-    return written(chosen.select("q_lang", "q_source", fence.alias("q_fences")), "quality_fences")
+    limits = fences(blended(fine), ["q_lang", "q_source"])
+    return written(limits.select("q_lang", "q_source", F.col("fences").alias("q_fences")), "quality_fences")
 
 
 def judged(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Append `q_base_failed` and `q_kept` by a join with the thresholds."""
     inside = F.lit(True)
-    for name, made in MEASURES.items():
+    for name, (_, whole) in MEASURES.items():
         fence = F.col("q_fences")[name]
-        inside = inside & made().between(fence["low"], fence["high"])
+        chance = F.floor(F.lit(1000 * EVENTS * UNITS[name]) / F.greatest(F.col(whole), F.lit(1)))
+        inside = inside & _value(name).between(fence["low"] - chance, fence["high"] + chance)
     same = F.col(lang).eqNullSafe(F.col("q_lang")) & F.col(source).eqNullSafe(F.col("q_source"))
     joined = measured.join(checked_broadcast(limits), same)
     failed = joined.withColumn("q_base_failed", base_failed())

@@ -1,6 +1,7 @@
 """Quality rules, sharding and license scans on edge cases, and against plain Python."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -48,6 +49,64 @@ def test_fences_follow_each_group(spark):
     assert kept == {*range(80), *range(100, 180), 201}
 
 
+def test_every_rule_can_reject(spark):
+    """One outlier of each measure among plain texts of eight lines; the base rule takes none of them."""
+    plain = [" ".join(words(8, 10 * i + j)) for i in range(60) for j in range(8)]
+    texts = ["\n".join(plain[8 * i : 8 * i + 8]) for i in range(60)]
+    odd = {
+        "symbols": texts[0].replace(" ", " # ", 9),
+        "word_length": texts[1].replace(" ", ""),
+        "repeats": " ".join(words(400, 7)) + (" " + " ".join(words(40, 8))) * 2,
+        "dup_lines": "\n".join([texts[3], *["same line"] * 6]),
+        "capitals": texts[4].upper(),
+        "long words": " ".join(word * 9 for word in texts[5].split()),
+    }
+    docs = rows(spark, [(i, text, "en", "books") for i, text in enumerate([*texts, *odd.values()])], "doc_id long, text string, lang string, source string")
+    got = {row.doc_id: row for row in quality.quality_report(docs).collect()}
+    assert all(got[i].kept for i in range(60))
+    rejected = {name: (got[60 + i].base_failed, got[60 + i].kept) for i, name in enumerate(odd)}
+    assert rejected == {name: (name == "word_length", False) for name in odd}
+
+
+def plain_fences(values, measure):
+    """Fences of (lang, source, value) triples by counting, each language's values at the weight of PRIOR documents."""
+    made = {}
+    for lang, source in {v[:2] for v in values}:
+        wide = [v[2] for v in values if v[0] == lang]
+        own = [v[2] for v in values if v[:2] == (lang, source)]
+        weighted = sorted([(v, len(wide)) for v in own] + [(v, quality.PRIOR) for v in wide])
+        total = sum(weight for _, weight in weighted)
+
+        def quantile(part, of):
+            upto = 0
+            for value, weight in weighted:
+                upto += weight
+                if upto * of >= total * part:
+                    return value
+
+        lower, middle, upper = quantile(1, 5), quantile(1, 2), quantile(4, 5)
+        low = lower - quality.SPREAD * (middle - lower) if measure in quality.LOW_SIDE else 0
+        made[lang, source] = (low, upper + quality.SPREAD * (upper - middle))
+    return made
+
+
+def test_fences_equal_plain_python(spark):
+    """Sources of 1 to 90 documents, null keys among them: one rule at every size."""
+    dealer = random.Random(5)
+    groups = [("en", "a", 90), ("en", "b", 49), ("en", "c", 50), ("en", None, 1), (None, "a", 7), (None, None, 3), ("fr", "d", 1)]
+    docs = []
+    for lang, source, count in groups:
+        for _ in range(count):
+            text = " ".join(w.upper() if dealer.random() < 0.1 else w + "#" * (dealer.random() < 0.2) for w in words(30, dealer.random()))
+            docs.append((len(docs), text, lang, source))
+    measured = quality.features(rows(spark, docs, "doc_id long, text string, lang string, source string")).cache()
+    got = {(row.q_lang, row.q_source): row.q_fences for row in quality.thresholds(measured).collect()}
+    assert len(got) == len(groups)
+    for name in quality.MEASURES:
+        values = [tuple(row) for row in measured.select("lang", "source", quality.bucket(quality._value(name))).collect()]
+        assert {key: tuple(fence[name]) for key, fence in got.items()} == plain_fences(values, name)
+
+
 def test_bucket_is_at_most_a_thirty_second_too_low(spark):
     table = spark.range(0, 200_000, 7).select(F.col("id"), quality.bucket(F.col("id")).alias("b"))
     assert table.filter("b > id or id - b > id / 32").count() == 0
