@@ -21,9 +21,14 @@ the two lowest depths (at most 256 * 255 numbers) pass through the driver. A
 bucket answers each block's request with one log probability per n-gram, and the
 block adds them up per document. Many blocks of one bucket are split by a salt.
 
+The code length per byte is that of the text and its end, in bits, over the bytes
+of the text. Answers travel as 32-bit floats, which moves a sum by less than one
+part in ten million.
+
 Words and their base score are counted likewise, by block, then by word.
 
-Defined results: a null text is empty and consists of the end alone; bytes that
+Defined results: a null text is empty and consists of the end alone, without a
+code length per byte; bytes that
 are not UTF-8 are scored like any others; rows with a null id count as held out
 if crc32 of the empty string, 0, says so, as it does; repeated rows count each;
 without any training text all probabilities are one half per decision and the
@@ -371,7 +376,7 @@ def _looked_up(texts: list[bytes], make: Callable, bucket: Callable, replies: di
 
 
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per text: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """One row per text: key, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte."""
     blocks = text_blocks(texts_as_bytes(docs, text, key), key, "ctw_blocks")
     asked = written(requests(blocks), "ctw_requests")
     salts = max(1, -(-blocks.count() // BLOCKS_PER_TASK))
@@ -391,15 +396,21 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
             base = [float(np.log10((many + WORD_SMOOTHING) / bottom).sum()) if total else None for many in counts]
             known = [int((many > 0).sum()) for many in counts]
             held = [is_held_out(one) for one in row["keys"]]
-            for column, values in zip(out, (row["keys"], held, [len(m) for m in counts], known, [total] * len(texts), base, logs)):
+            sizes = [len(one) for one in texts]
+            rates = [-log / math.log10(2) / size if size else None for log, size in zip(logs, sizes)]
+            made = (row["keys"], held, [len(m) for m in counts], known, [total] * len(texts), base, logs, sizes, rates)
+            for column, values in zip(out, made):
                 column += values
         return pa.Table.from_arrays([pa.array(column, kind) for column, kind in zip(out, kinds)], SCORE_NAMES)
 
-    kinds = [to_arrow_type(docs.schema[key].dataType), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    kinds = [to_arrow_type(docs.schema[key].dataType), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2, pa.int64(), pa.float64()]
     ddl = docs.schema[key].dataType.simpleString()
-    schema = f"key {ddl}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema = (
+        f"key {ddl}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
+        "n_bytes long, bits_per_byte double"
+    )
     scored = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
     return scored.withColumnRenamed("key", key)
 
 
-SCORE_NAMES = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+SCORE_NAMES = ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"]

@@ -94,6 +94,9 @@ def test_scores_equal_the_recursion(spark):
         assert row.n_known == sum(known[token] > 0 for token in some)
         assert row.base_score == pytest.approx(base)
         assert row.score == pytest.approx(model(bodies[i]), rel=1e-5)
+        assert row.n_bytes == len(bodies[i])
+        rate = -row.score / math.log10(2) / len(bodies[i]) if bodies[i] else None
+        assert row.bits_per_byte == (pytest.approx(rate) if bodies[i] else None)
 
 
 def test_probabilities_of_the_next_byte_sum_to_one():
@@ -131,6 +134,7 @@ def test_edge_cases(spark, edge_docs, edge_texts, no_docs):
     row = ctw.scores(held_only).first()
     assert (row.train_tokens, row.n_known, row.base_score) == (0, 0, None)
     assert row.score == pytest.approx(-(len("nothing to learn from") + 1) * 8 * math.log10(2))
+    assert row.bits_per_byte == pytest.approx(8 * 22 / 21)
 
 
 def test_log_estimates_of_large_counts():
