@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 and read again before the next one. All stages but the last return the columns
 of `documents`. What a stage keeps in the scratch folder is needed until its result
 is written, so the next stage deletes it when it begins; results are not deleted by
-stages, and `run` deletes each when the one after it is written.
+stages, and `run` deletes each when the one after it is written. Files of shuffles that
+no table refers to any more go when the next stage begins.
 
 Defined results: an empty table gives an empty result; rows with a null id stay in
 all stages but are not compared with others; of rows with equal ids the near-duplicate
@@ -15,6 +16,7 @@ pass through all stages but the last, whatever their names. Ids are whole number
 from __future__ import annotations
 
 import functools
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,11 +41,14 @@ _left: list[str] = []
 
 
 def _freeing(stage: Stage) -> Stage:
-    """The stage, which first deletes what the one before it kept for itself."""
+    """The stage, which first frees what the one before it kept for itself: its scratch tables and its shuffles' files."""
 
     @functools.wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         delete_scratch(spark, _left)
+        # Spark deletes a shuffle's files once nothing in the driver refers to it, which it notices when it collects garbage.
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
         before = set(scratch_paths())
         result = stage(spark, docs, sf_dir)
         _left[:] = [path for path in scratch_paths() if path not in before]

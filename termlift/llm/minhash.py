@@ -279,7 +279,8 @@ def without_near_duplicates(
     """
     marked = written(near_duplicates(docs, key, text, width, percent), "minhash_marks")
     gone = marked.filter("NOT kept AND component_id IS NOT NULL").select(key).distinct()
-    left = docs.join(gone, key, "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
+    # As above: whole rows meet a list that grows with them by a shuffle at every size.
+    left = docs.join(gone.hint("merge"), key, "left_anti").select(*(F.col(f"`{name}`") for name in docs.columns))
     repeated = marked.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
     if not repeated.take(1):
         return left
