@@ -13,8 +13,9 @@ support falls towards one and fewer phrases are pruned.
 
 What is frequent in some shard is kept as a set of hash cells of a fixed size
 (CELL_BITS); a cell that another phrase shares only lets a phrase through that is
-then counted in vain. The last pass counts every candidate in every block, by its
-words, and the sums are exact.
+then counted in vain, and only if its parts share cells too. The last pass counts every
+candidate in every block, by its words, adds up the blocks of a task, and the sums are
+exact.
 
 Defined results: null texts are empty; a null language counts as `und`, together
 with rows that say so; repeated rows count each; empty texts and an empty table
@@ -31,7 +32,7 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -53,6 +54,8 @@ CELL_BITS = 27
 # While a shard is mined, a phrase is known by this many bits of its hash; equal ones add up, which prunes less but loses none.
 KEY_BITS = 40
 BATCH_ROWS = 1 << 17
+# Counts that a task of the last pass adds up before it passes on its largest language's.
+HELD_COUNTS = 1 << 19
 
 _PIECE_END = b"\n"
 _SPLITTING = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
@@ -169,8 +172,10 @@ class Block:
         _, first, times = np.unique(words, axis=0, return_index=True, return_counts=True)
         return at[first], times
 
-    def phrase(self, start: int, length: int) -> bytes:
-        return b" ".join(self.words[number - 2] for number in self.numbers[start : start + length].tolist())
+    def texts(self, first: np.ndarray, length: int) -> list[bytes]:
+        """The phrases of `length` words that start at the positions."""
+        rows = np.stack([self.numbers[first + offset] - 2 for offset in range(length)], axis=1).tolist()
+        return [b" ".join([self.words[number] for number in row]) for row in rows]
 
 
 def held(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -247,6 +252,52 @@ def candidate_cells(table: DataFrame, support: int, max_words: int) -> np.ndarra
     return cells
 
 
+def _candidate_counts(table: DataFrame, shared: Broadcast, max_words: int, held_counts: int) -> DataFrame:
+    """Exact counts of all candidates, by their words, summed over the blocks of a task: lang, phrase, n.
+
+    A phrase that is frequent in a shard has only parts that are frequent there, so one whose parts are not
+    in the set is there by a shared cell only and is left out.
+    """
+
+    def candidates(block: Block) -> Iterator[tuple[list[bytes], list[int]]]:
+        fine = None
+        for length in range(1, max_words + 1):
+            hashes, inside = block.phrases(length)
+            if fine is not None:
+                inside &= fine[:-1] & fine[1:]
+            fine = inside & held(shared.value, hashes)
+            at = np.flatnonzero(fine)
+            first, times = block.counted(length, at, hashes[at])
+            for start in range(0, len(first), BATCH_ROWS):
+                part = slice(start, start + BATCH_ROWS)
+                yield block.texts(first[part], length), times[part].tolist()
+
+    def rows(lang: str, counts: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        phrases, times = list(counts), list(counts.values())
+        for start in range(0, len(phrases), BATCH_ROWS):
+            part = pa.array(phrases[start : start + BATCH_ROWS], pa.binary()).cast(pa.string())
+            columns = [pa.repeat(pa.scalar(lang), len(part)), part, pa.array(times[start : start + BATCH_ROWS], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[str, dict[bytes, int]] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block = Block({name: batch[name][row].as_py() for name in batch.schema.names})
+                counts = waiting.setdefault(block.lang, {})
+                for phrases, times in candidates(block):
+                    for phrase, many in zip(phrases, times):
+                        counts[phrase] = counts.get(phrase, 0) + many
+                    while sum(map(len, waiting.values())) > held_counts:
+                        largest = max(waiting, key=lambda name: len(waiting[name]))
+                        yield from rows(largest, waiting[largest])
+                        waiting[largest].clear()
+        for lang, counts in waiting.items():
+            yield from rows(lang, counts)
+
+    return table.mapInArrow(run, "lang string, phrase string, n long")
+
+
 def frequent_phrases(
     docs: DataFrame,
     text: str = "text",
@@ -255,6 +306,7 @@ def frequent_phrases(
     max_words: int = MAX_WORDS,
     shards: int = SHARDS,
     block_bytes: int = BLOCK_BYTES,
+    held_counts: int = HELD_COUNTS,
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of 1 to `max_words` words that reach the support, and each language's words.
 
@@ -264,19 +316,10 @@ def frequent_phrases(
     totals = table.groupBy("lang").agg(F.sum("n_words").alias("n"))
     shared = table.sparkSession.sparkContext.broadcast(candidate_cells(table, support, max_words))
 
-    def made(block: Block, shard: int) -> Iterator[list]:
-        for length in range(1, max_words + 1):
-            hashes, inside = block.phrases(length)
-            at = np.flatnonzero(inside & held(shared.value, hashes))
-            first, times = block.counted(length, at, hashes[at])
-            for start in range(0, len(first), BATCH_ROWS):
-                part = first[start : start + BATCH_ROWS].tolist()
-                phrases = [block.phrase(one, length) for one in part]
-                yield [block.lang, pa.array(phrases, pa.binary()).cast(pa.string()), length, times[start : start + len(part)]]
-
-    types = [pa.string(), pa.string(), pa.int32(), pa.int64()]
-    counts = _per_block(table, made, ["lang", "phrase", "words", "n"], types, "lang string, phrase string, words int, n long")
-    summed = counts.repartition("phrase").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
+    counts = _candidate_counts(table, shared, max_words, held_counts)
+    # Blocks of a task are added up where they are counted, so rows are dealt as they come.
+    summed = counts.repartition("phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
+    summed = summed.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "f")
     return written(summed, "frequent_phrases"), written(totals, "phrase_totals")
 
 

@@ -112,7 +112,7 @@ def plain_phrases(documents, support, top):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"block_bytes": 2000, "shards": 3}, {"block_bytes": 400, "shards": 32}])
+@pytest.mark.parametrize("options", [{}, {"block_bytes": 2000, "shards": 3}, {"block_bytes": 400, "shards": 32}, {"block_bytes": 400, "held_counts": 50}])
 def test_phrases_equal_plain_python(spark, edge_texts, options):
     dealer = random.Random(9)
     pool = ["the", "of", "new", "york", "city", "Ünder", "x\x00y", "a-b", " z", "Z"] + words(6, 1)
