@@ -1,5 +1,6 @@
 """The entry without the optional training-data operators."""
 
+import os
 import subprocess
 import sys
 import textwrap
@@ -40,3 +41,27 @@ def test_entry_without_the_operators():
 
 def test_entry_without_operators_and_pipeline():
     assert _names_without("termlift.llm", "corpus_pipeline") == [str(len(QUERIES)), str(len(ORACLES))]
+
+
+ELSEWHERE = textwrap.dedent(
+    """
+    import sys
+
+    sys.path.insert(0, {root!r})
+    from pyspark.sql import SparkSession
+    import __spark_entry__ as entry
+
+    spark = SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4").getOrCreate()
+    print(entry.queries()["svm_predictions"](spark, "/root/testdata/sf0.001").count())
+    """
+)
+
+
+def test_python_workers_find_the_code_from_another_folder(tmp_path):
+    """Trainers run in Python workers, which start in the session's folder and know no path but their own."""
+    code = ELSEWHERE.format(root=str(ROOT))
+    known = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    known["PYTHONPATH"] = os.pathsep.join(path for path in os.environ.get("PYTHONPATH", "").split(os.pathsep) if path and Path(path).resolve() != ROOT)
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=known, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout.split()[-1]) > 0
