@@ -34,6 +34,9 @@ from termlift.operators.classify import linear_svm, one_vs_rest
 # A block ends with this many non-zero entries or rows.
 BLOCK_ENTRIES = 1 << 18
 BLOCK_ROWS = 1 << 13
+# Rows that are laid out densely at a time, and the share of non-zero entries from which that is faster.
+DENSE_ROWS = 64
+DENSE_SHARE = 0.02
 # Partial sums of a machine are added up in this many tasks.
 SLICES = 8
 MEMORY = 10
@@ -41,7 +44,8 @@ TOLERANCE = 1e-6
 # Slopes below this share of the steepest one are rounding.
 FLAT = 1e-12
 
-_BLOCK = "label array<double>, length array<long>, index array<int>, weight array<double>"
+_BLOCK = "label binary, length binary, index binary, weight binary, top_label double, top_index int"
+_KINDS = {"label": np.float64, "length": np.int64, "index": np.int32, "weight": np.float64}
 _SUMS = "machine int, part array<double>"
 
 
@@ -54,7 +58,7 @@ class Setting:
 
 
 def packed(df: DataFrame, features: str, label: str) -> DataFrame:
-    """Rows as blocks: labels, entries per row, and the entries' indexes and weights one after the other."""
+    """Rows as blocks: labels, entries per row, and the entries' indexes and weights one after the other, as bytes."""
     parts = F.unwrap_udt(features)
     values = F.coalesce(parts["values"], F.array().cast("array<double>"))
     index = F.coalesce(parts["indices"], F.transform(values, lambda _, place: place))
@@ -67,9 +71,9 @@ def packed(df: DataFrame, features: str, label: str) -> DataFrame:
             table = pa.Table.from_batches(waiting).combine_chunks()
             index, weight = (table[name].combine_chunks() for name in ("index", "weight"))
             columns = [table["label"].to_numpy(), np.diff(index.offsets.to_numpy()), index.flatten().to_numpy(), weight.flatten().to_numpy()]
-            kinds = [pa.float64(), pa.int64(), pa.int32(), pa.float64()]
-            parts = [pa.array([column], pa.list_(kind)) for column, kind in zip(columns, kinds)]
-            return pa.RecordBatch.from_arrays(parts, ["label", "length", "index", "weight"])
+            parts = [pa.array([column.astype(kind, copy=False).tobytes()]) for column, kind in zip(columns, _KINDS.values())]
+            tops = [pa.array([columns[0].max()], pa.float64()), pa.array([columns[2].max(initial=-1)], pa.int32())]
+            return pa.RecordBatch.from_arrays([*parts, *tops], [*_KINDS, "top_label", "top_index"])
 
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
@@ -88,9 +92,8 @@ def packed(df: DataFrame, features: str, label: str) -> DataFrame:
 
 class _Block:
     def __init__(self, batch: pa.RecordBatch, row: int):
-        label, self.length, self.index, self.weight = (batch[name][row].values.to_numpy() for name in ("label", "length", "index", "weight"))
-        self.label = label
-        self.row = np.repeat(np.arange(len(label)), self.length)
+        self.label, self.length, self.index, self.weight = (np.frombuffer(batch[name][row].as_buffer(), kind) for name, kind in _KINDS.items())
+        self.row = np.repeat(np.arange(len(self.label)), self.length)
 
     def products(self, coefficients: np.ndarray) -> np.ndarray:
         """Each row's product with every column of `coefficients`."""
@@ -105,6 +108,32 @@ class _Block:
         """For every feature, the sum of its weights times a number per row."""
         return np.bincount(self.index, self.weight * of_rows[self.row], minlength=size)
 
+    def slopes(self, coefficients: np.ndarray, intercepts: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """For every machine, a line of `coefficients`: the sums of its slope by feature, of its slope and of its loss."""
+        sign = np.where(self.label[:, None] == wanted, 1.0, -1.0)
+        size = coefficients.shape[1]
+        if len(self.index) < DENSE_SHARE * len(self.label) * size:
+            loss = np.maximum(1.0 - sign * (self.products(coefficients.T) + intercepts), 0.0)
+            pull = np.where(loss > 0, -sign, 0.0)
+            by_feature = np.array([self.sums(pull[:, k], size) for k in range(len(wanted))])
+            return np.column_stack([by_feature, pull.sum(axis=0), loss.sum(axis=0)])
+        total = np.zeros((len(wanted), size + 2))
+        dense = np.zeros((min(DENSE_ROWS, len(self.label)), size))
+        flat, ends = dense.ravel(), np.concatenate([[0], np.cumsum(self.length)])
+        for start in range(0, len(self.label), DENSE_ROWS):
+            end = min(start + DENSE_ROWS, len(self.label))
+            entries = slice(ends[start], ends[end])
+            places = (self.row[entries] - start) * size + self.index[entries]
+            flat[places] = self.weight[entries]
+            part = dense[: end - start]
+            loss = np.maximum(1.0 - sign[start:end] * (part @ coefficients.T + intercepts), 0.0)
+            pull = np.where(loss > 0, -sign[start:end], 0.0)
+            total[:, :size] += pull.T @ part
+            total[:, size] += pull.sum(axis=0)
+            total[:, size + 1] += loss.sum(axis=0)
+            flat[places] = 0.0
+        return total
+
 
 def _each_block(blocks: DataFrame, made, schema: str) -> DataFrame:
     """One row for each machine and task: the sum of what `made` gives for its blocks."""
@@ -248,12 +277,7 @@ def train(blocks: DataFrame, size: int, classes: int, settings: Sequence[Setting
         shared = context.broadcast((scaled[:, :-1] * inverse, scaled[:, -1] - scaled[:, :-1] @ centre, wanted))
 
         def made(block: _Block, shared=shared) -> np.ndarray:
-            coefficients, intercepts, wanted = shared.value
-            sign = np.where(block.label[:, None] == wanted, 1.0, -1.0)
-            loss = np.maximum(1.0 - sign * (block.products(coefficients.T) + intercepts), 0.0)
-            pull = np.where(loss > 0, -sign, 0.0)
-            rest = [np.concatenate([block.sums(pull[:, k], size), [pull[:, k].sum(), loss[:, k].sum()]]) for k in range(len(wanted))]
-            return np.array(rest)
+            return block.slopes(*shared.value)
 
         total = _added(_each_block(blocks, made, _SUMS), len(names)) / n
         shared.unpersist()
@@ -291,7 +315,7 @@ def fit_all(df: DataFrame, settings: Sequence[Setting], features: str = "normal"
     """A fitted one-vs-rest model for each setting, all trained in the same passes over `df`."""
     blocks = packed(df, features, label).persist()
     try:
-        known = blocks.agg(F.max(F.array_max("label")), F.max(F.array_max("index"))).first()
+        known = blocks.agg(F.max("top_label"), F.max("top_index")).first()
         if known[0] is None:
             raise ValueError("no rows to train on")
         classes, size = int(known[0]) + 1, df.select(features).first()[0].size

@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from termlift.catalog import queries
 from termlift.operators import classify, split, svm, tuning
 from termlift.operators import features as feature_ops
 from termlift.operators.numbering import numbered
@@ -71,6 +72,42 @@ def test_blocks_and_partitions_change_nothing(normal, monkeypatch):
         assert np.abs(one.coefficients.toArray() - other.coefficients.toArray()).max() < 1e-9
 
 
+def test_dense_and_sparse_passes_agree(normal, monkeypatch):
+    batch = svm.packed(normal.coalesce(1), "normal", "label").toArrow().combine_chunks().to_batches()[0]
+    block = svm._Block(batch, 0)
+    coefficients = np.random.default_rng(3).normal(size=(4, normal.first().normal.size))
+    found = []
+    for share in (0.0, 2.0):
+        monkeypatch.setattr(svm, "DENSE_SHARE", share)
+        found.append(block.slopes(coefficients, np.arange(4) / 10, np.arange(4.0)))
+    assert len(block.label) > svm.DENSE_ROWS
+    assert np.allclose(*found, rtol=0, atol=1e-9)
+
+
+def test_rows_are_not_dealt_anew_by_label(spark, monkeypatch):
+    class Caught(Exception):
+        pass
+
+    dealt = []
+
+    def caught(df, name):
+        dealt.append(df)
+        raise Caught
+
+    vectors = spark.range(0, 4000, 1, 4).select(F.col("id").alias("doc_id"), F.lit(0.0).alias("label"), F.lit(1).alias("features"))
+    monkeypatch.setattr(queries, "_vectors", lambda *a: vectors)
+    monkeypatch.setattr(queries, "randomly_tuned_classifier", lambda *a, **k: None)
+    monkeypatch.setattr(queries, "written", caught)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(Caught):
+            queries.random_tuning(spark, "")
+        sizes = [row["count"] for row in dealt[0].groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(sizes) > 1 and max(sizes) < 0.6 * 4000
+
+
 def test_dense_empty_and_constant_features(spark):
     vectors = [Vectors.dense(1.0, 2.0, 5.0), Vectors.sparse(3, [], []), Vectors.dense(0.5, 0.0, 5.0), Vectors.sparse(3, [1], [4.0])]
     data = spark.createDataFrame([(float(i % 3 == 0), vectors[i % 4]) for i in range(20)], ["label", "normal"])
