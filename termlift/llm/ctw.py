@@ -233,27 +233,31 @@ def _groups(texts: list[bytes]) -> Iterator[range]:
         yield range(start, len(texts))
 
 
-def _distinct(texts: list[bytes], make: Callable, held: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _sorted_unique(keys: np.ndarray) -> np.ndarray:
+    """Distinct keys in order; np.unique hashes numbers, which takes several times as long as sorting them."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([keys[:1] == keys[:1], keys[1:] != keys[:-1]])]
+
+
+def _distinct(texts: list[bytes], make: Callable, held: list[bool]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of a block's texts and how often each occurs in those to learn from.
 
     Only the distinct keys of each group of texts are held at a time.
     """
     parts = []
     for group in _groups(texts):
-        made = [make(texts[at]) for at in group]
-        found = np.unique(np.concatenate(made))
-        counts = np.zeros(len(found), np.int64)
-        train = [one for one, at in zip(made, group) if held is not None and not held[at]]
-        if train:
-            some, many = np.unique(np.concatenate(train), return_counts=True)
-            counts[np.searchsorted(found, some)] = many
-        parts.append((found, counts))
+        for kept_out in (False, True):
+            made = [make(texts[at]) for at in group if held[at] == kept_out]
+            if made:
+                found, counts = np.unique(np.concatenate(made), return_counts=True)
+                parts.append((found, np.zeros_like(counts) if kept_out else counts))
     return tuple(_sums(*map(np.concatenate, zip(*parts))))
 
 
 def _by_bucket(keys: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """The buckets that occur and the places of their keys, which stay in order."""
-    order = np.argsort(bucket, kind="stable")
+    # Short numbers are sorted by radix.
+    order = np.argsort(bucket.astype(np.uint16), kind="stable")
     found, starts = np.unique(bucket[order], return_index=True)
     return found, np.split(order, starts[1:])
 
@@ -365,14 +369,18 @@ def answers(asked: DataFrame, counted: DataFrame, upper: Upper, salts: int) -> D
 
 def _looked_up(texts: list[bytes], make: Callable, bucket: Callable, replies: dict[int, bytes], kind: type) -> Iterator[np.ndarray]:
     """For each text the answers to its keys, in ascending order of the keys."""
-    keys, _ = _distinct(texts, make)
+    groups = list(_groups(texts))
+    distinct = [_sorted_unique(np.concatenate([make(texts[at]) for at in group])) for group in groups]
+    keys = _sorted_unique(np.concatenate(distinct))
     found, places = _by_bucket(keys, bucket(keys))
     values = np.zeros(len(keys), kind)
     for one, at in zip(found.tolist(), places):
         values[at] = np.frombuffer(unsqueezed(replies[one]), kind)
-    for text in texts:
-        # Neighbouring needles meet neighbouring keys, so each text's keys are sorted before they are searched.
-        yield values[np.searchsorted(keys, np.sort(make(text)))]
+    for group, own in zip(groups, distinct):
+        near = values[np.searchsorted(keys, own)]
+        for at in group:
+            # A text's keys are sorted, so that neighbouring needles meet neighbours among the few keys of its group.
+            yield near[np.searchsorted(own, np.sort(make(texts[at])))]
 
 
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -141,3 +141,19 @@ def test_log_estimates_of_large_counts():
     zeros, ones = np.array([0, 3, 63, 64, 1000, 10**9]), np.array([0, 0, 1, 64, 5, 10**9 + 1])
     expected = [math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1) for a, b in zip(zeros.tolist(), ones.tolist())]
     assert ctw.log_estimate(zeros, ones) == pytest.approx(expected, rel=1e-9, abs=1e-9)
+
+
+def test_keys_of_groups_are_counted_and_looked_up(monkeypatch):
+    monkeypatch.setattr(ctw, "GROUP_BYTES", 40)
+    random.seed(5)
+    texts = [bytes(random.choices(b"ab c", k=random.randrange(30))) for _ in range(60)] + [b""]
+    held = [at % 3 == 0 for at in range(len(texts))]
+    learned = Counter(key for text, out in zip(texts, held) if not out for key in ctw.ngrams(text).tolist())
+    keys, counts = ctw._distinct(texts, ctw.ngrams, held)
+    assert keys.tolist() == sorted({key for text in texts for key in ctw.ngrams(text).tolist()})
+    assert counts.tolist() == [learned[key] for key in keys.tolist()]
+    assert ctw._sorted_unique(keys[::-1].repeat(2)).tolist() == keys.tolist() and not len(ctw._sorted_unique(keys[:0]))
+    found, places = ctw._by_bucket(keys, ctw.bucket_of(keys))
+    replies = {int(one): ctw.squeezed(counts[at]) for one, at in zip(found, places)}
+    answers = ctw._looked_up(texts, ctw.ngrams, ctw.bucket_of, replies, np.int64)
+    assert [answer.tolist() for answer in answers] == [[learned[key] for key in sorted(ctw.ngrams(text).tolist())] for text in texts]
