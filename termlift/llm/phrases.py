@@ -11,7 +11,7 @@ that are one word shorter were frequent. Local counts are summed by Spark per
 the same at every size and far below the support: with more shards the local
 support falls towards one and fewer phrases are pruned.
 
-What is frequent in some shard is kept as a set of hash cells of a fixed size
+What is frequent in some shard, and whose local counts together reach the support, is kept as a set of hash cells of a fixed size
 (CELL_BITS); a cell that another phrase shares only lets a phrase through that is
 then counted in vain, and only if its parts share cells too. The last pass counts every
 candidate in every block, by its words, adds up the blocks of a task, and the sums are
@@ -204,14 +204,17 @@ def _per_block(table: DataFrame, made: Callable[[Block, int], Iterator[list]], n
     return table.mapInArrow(run, schema)
 
 
-def _frequent_cells(local: DataFrame, least: DataFrame) -> np.ndarray:
-    """The cells of all hashes that reach the local support in some shard.
+def _frequent_cells(local: DataFrame, least: DataFrame, support: int) -> np.ndarray:
+    """The cells of all hashes that reach the local support in some shard, and the support in all shards together.
 
-    A block gives a phrase once, so rows are dealt before they are summed: adding them up in the tasks that make
+    Every shard counts the phrases whose parts are in the set, which is one for all shards, so the sum over the
+    shards is at least the phrase's count, and a phrase that reaches the support is never left out. A block gives a phrase once, so rows are dealt before they are summed: adding them up in the tasks that make
     them would take memory and merge next to nothing.
     """
     summed = local.repartition("hash").groupBy("lang", "shard", "hash").agg(F.sum("n").alias("n"))
-    frequent = summed.join(checked_broadcast(least), ["lang", "shard"]).filter(F.col("n") >= F.col("least"))
+    known = summed.join(checked_broadcast(least), ["lang", "shard"])
+    whole = known.groupBy("lang", "hash").agg(F.sum("n").alias("f"), F.bool_or(F.col("n") >= F.col("least")).alias("local"))
+    frequent = whole.filter(F.col("local") & (F.col("f") >= support))
     cell = F.shiftright("hash", KEY_BITS - CELL_BITS)
     bit = F.expr(f"shiftleft(1L, cast(shiftright(hash, {KEY_BITS - CELL_BITS}) & 63 as int))")
     words = frequent.groupBy(F.shiftright(cell, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
@@ -230,7 +233,7 @@ def local_supports(table: DataFrame, support: int) -> DataFrame:
 
 
 def candidate_cells(table: DataFrame, support: int, max_words: int) -> np.ndarray:
-    """Mine every shard length by length; the cells of all phrases frequent in a shard, of any length."""
+    """Mine every shard length by length; the cells of all phrases frequent in a shard and in all together, of any length."""
     context = table.sparkSession.sparkContext
     least = written(local_supports(table, support), "phrase_supports")
     cells = np.zeros(1 << (CELL_BITS - 6), np.uint64)
@@ -244,7 +247,7 @@ def candidate_cells(table: DataFrame, support: int, max_words: int) -> np.ndarra
 
         types = [pa.string(), pa.int32(), pa.int64(), pa.int32()]
         local = _per_block(table, made, ["lang", "shard", "hash", "n"], types, "lang string, shard int, hash long, n int")
-        grown = _frequent_cells(local, least)
+        grown = _frequent_cells(local, least, support)
         shared.unpersist()
         if not grown.any():
             break
@@ -255,7 +258,7 @@ def candidate_cells(table: DataFrame, support: int, max_words: int) -> np.ndarra
 def _candidate_counts(table: DataFrame, shared: Broadcast, max_words: int, held_counts: int) -> DataFrame:
     """Exact counts of all candidates, by their words, summed over the blocks of a task: lang, phrase, n.
 
-    A phrase that is frequent in a shard has only parts that are frequent there, so one whose parts are not
+    A phrase that reaches the support has only parts that reach it, so one whose parts are not
     in the set is there by a shared cell only and is left out.
     """
 

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from termlift.llm import nra, phrases
 from termlift.sources.tables import rows
@@ -150,3 +151,13 @@ def test_equal_hashes_are_counted_apart():
     block.numbers = np.array([2, 3, 0, 4, 5, 0, 2, 3, 0], np.int32)
     first, times = block.counted(2, np.array([0, 3, 6]), np.array([9, 9, 9], np.uint64))
     assert sorted(zip(first.tolist(), times.tolist())) == [(0, 2), (3, 1)]
+
+
+def test_phrases_short_of_the_support_are_not_counted(spark):
+    text = F.when(F.col("id") == 0, "x y x y x y").otherwise("p q p q p q p q")
+    table = phrases.blocks(spark.range(0, 4, 1, 4).select(text.alias("text"), F.lit("en").alias("lang"))).persist()
+    assert {row.least for row in phrases.local_supports(table, 8).collect()} == {2, 3}
+    cells = spark.sparkContext.broadcast(phrases.candidate_cells(table, 8, 5))
+    found = {row.phrase for row in phrases._candidate_counts(table, cells, 5, 1000).collect()}
+    table.unpersist()
+    assert found == {"p", "q", "p q", "q p", "p q p", "q p q", "p q p q"}
