@@ -62,6 +62,10 @@ LOCAL = 2
 BLOCKS_PER_TASK = 512
 WORD_SMOOTHING = 0.1
 GROUP_BYTES = 1 << 19
+# Each n-gram takes a dozen numbers for each of its eight decisions while it is scored.
+KEYS_AT_ONCE = 1 << 14
+# Counts of keys that wait before they are added up.
+COUNTS_AT_ONCE = 1 << 19
 # Stands for the end of a text among the hashes of words.
 END_WORD = np.uint64(0x5851F42D4C957F2D)
 # log gamma(i + 1/2) and log i! for the first arguments; beyond them Stirling's series is exact to 1e-12.
@@ -153,11 +157,15 @@ def decisions(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def deepest(keys: np.ndarray, counts: np.ndarray) -> Level:
-    """The level of the longest contexts, from counted n-grams."""
-    names, bits = decisions(keys)
-    each = np.repeat(counts, 8)
-    bit = bits.ravel()
-    return Level(*_sums(names.ravel(), np.where(bit, 0, each), np.where(bit, each, 0)), None)
+    """The level of the longest contexts, from distinct n-grams in order, with their counts."""
+    symbol, context, parts = keys & np.uint64(255) | np.uint64(256), keys & ~np.uint64(255), []
+    for shift in range(8, 0, -1):
+        # The keys are in order, so the nodes of one decision are too; only distinct ones are held.
+        names = context | symbol >> np.uint64(shift)
+        first = np.flatnonzero(np.concatenate([names[:1] == names[:1], names[1:] != names[:-1]]))
+        bit = (symbol >> np.uint64(shift - 1)) & np.uint64(1) == 1
+        parts.append((names[first], np.add.reduceat(np.where(bit, 0, counts), first), np.add.reduceat(np.where(bit, counts, 0), first)))
+    return Level(*_sums(*map(np.concatenate, zip(*parts))), None)
 
 
 def local_levels(keys: np.ndarray, counts: np.ndarray) -> list[Level]:
@@ -189,7 +197,12 @@ class Upper:
 
 
 def log_probabilities(keys: np.ndarray, levels: list[Level], upper: Upper) -> np.ndarray:
-    """log2 of the mixed probability of each n-gram's last byte after the bytes before it."""
+    """log2 of the mixed probability of each n-gram's last byte after the bytes before it, some n-grams at a time."""
+    parts = [_mixed_logs(keys[start : start + KEYS_AT_ONCE], levels, upper) for start in range(0, len(keys), KEYS_AT_ONCE)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
+def _mixed_logs(keys: np.ndarray, levels: list[Level], upper: Upper) -> np.ndarray:
     names, bits = decisions(keys)
     newest = (keys >> np.uint64(8 * DEPTH)).astype(np.int64)[:, None]
     node = (names & np.uint64(255)).astype(np.int64)
@@ -244,14 +257,28 @@ def _distinct(texts: list[bytes], make: Callable, held: list[bool]) -> tuple[np.
 
     Only the distinct keys of each group of texts are held at a time.
     """
-    parts = []
-    for group in _groups(texts):
-        for kept_out in (False, True):
-            made = [make(texts[at]) for at in group if held[at] == kept_out]
-            if made:
-                found, counts = np.unique(np.concatenate(made), return_counts=True)
-                parts.append((found, np.zeros_like(counts) if kept_out else counts))
-    return tuple(_sums(*map(np.concatenate, zip(*parts))))
+
+    def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for group in _groups(texts):
+            for kept_out in (False, True):
+                made = [make(texts[at]) for at in group if held[at] == kept_out]
+                if made:
+                    found, counts = np.unique(np.concatenate(made), return_counts=True)
+                    yield found, np.zeros_like(counts) if kept_out else counts
+
+    return _added_up(counted())
+
+
+def _added_up(counted: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their counts; no more wait to be added than there are distinct ones, or COUNTS_AT_ONCE."""
+    parts, waiting = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    for keys, counts in counted:
+        parts.append((keys, counts))
+        waiting += len(keys)
+        if waiting > max(COUNTS_AT_ONCE, len(parts[0][0])):
+            parts, waiting = [tuple(_sums(*map(np.concatenate, zip(*parts))))], 0
+    keys, counts = map(np.concatenate, zip(*parts))
+    return tuple(_sums(keys, counts)) if len(keys) else (keys, counts)
 
 
 def _by_bucket(keys: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -290,16 +317,13 @@ def _counted(row: dict) -> tuple[np.ndarray, np.ndarray]:
 
 def _merged(table: pa.Table) -> pa.Table:
     """Counts of one bucket summed over its rows, without keys that no training text holds."""
-    parts, waiting = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
-    for row in table.to_pylist():
-        keys, counts = _counted(row)
-        parts.append((keys[counts > 0], counts[counts > 0]))
-        waiting += len(parts[-1][0])
-        if waiting > max(1 << 20, len(parts[0][0])):
-            parts, waiting = [tuple(_sums(*map(np.concatenate, zip(*parts))))], 0
-    keys, counts = map(np.concatenate, zip(*parts))
-    if len(keys):
-        keys, counts = _sums(keys, counts)
+
+    def known() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for row in range(table.num_rows):
+            keys, counts = _counted({name: table[name][row].as_py() for name in ("keys", "counts")})
+            yield keys[counts > 0], counts[counts > 0]
+
+    keys, counts = _added_up(known())
     columns = [table["bucket"].slice(0, 1), [squeezed_keys(keys)], [squeezed(counts)], [len(keys)], [int(counts.sum())]]
     types = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
     arrays = [columns[0].cast(types[0]), *(pa.chunked_array([pa.array(c, t)]) for c, t in zip(columns[1:], types[1:]))]

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -157,3 +158,37 @@ def test_keys_of_groups_are_counted_and_looked_up(monkeypatch):
     replies = {int(one): ctw.squeezed(counts[at]) for one, at in zip(found, places)}
     answers = ctw._looked_up(texts, ctw.ngrams, ctw.bucket_of, replies, np.int64)
     assert [answer.tolist() for answer in answers] == [[learned[key] for key in sorted(ctw.ngrams(text).tolist())] for text in texts]
+
+
+def peak_of(job):
+    """What a call gives, and the most bytes that it held at a time."""
+    tracemalloc.start()
+    try:
+        return job(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_bucket_follows_its_distinct_nodes(monkeypatch):
+    dealer = np.random.default_rng(6)
+    contexts = np.uint64(0x6162 << 24) + dealer.integers(0, 2000, 200_000).astype(np.uint64) << np.uint64(8)
+    keys, counts = np.unique(contexts | dealer.integers(0, 256, 200_000).astype(np.uint64), return_counts=True)
+    levels, peak = peak_of(lambda: ctw.local_levels(keys, counts))
+    names, bits = ctw.decisions(keys)
+    each, bit = np.repeat(counts, 8), bits.ravel()
+    for got, expected in zip((levels[-1].names, levels[-1].zeros, levels[-1].ones), ctw._sums(names.ravel(), np.where(bit, 0, each), np.where(bit, each, 0))):
+        assert np.array_equal(got, expected)
+    assert peak < 20 * levels[-1].names.nbytes
+    upper = ctw.Upper(*(np.zeros(1, kind) for kind in (int, int, int, int, float)))
+    logs, peak = peak_of(lambda: ctw.log_probabilities(keys, levels, upper))
+    assert peak < 400 * len(keys)
+    monkeypatch.setattr(ctw, "KEYS_AT_ONCE", len(keys))
+    assert np.array_equal(logs, ctw.log_probabilities(keys, levels, upper)) and not len(ctw.log_probabilities(keys[:0], levels, upper))
+
+
+def test_counts_are_added_up_while_they_come(monkeypatch):
+    monkeypatch.setattr(ctw, "COUNTS_AT_ONCE", 1000)
+    keys = np.arange(1000, dtype=np.uint64)
+    (found, counts), peak = peak_of(lambda: ctw._added_up((keys.copy(), np.ones(1000, np.int64)) for _ in range(300)))
+    assert np.array_equal(found, keys) and set(counts.tolist()) == {300}
+    assert peak < 30 * keys.nbytes
