@@ -15,7 +15,9 @@ What is frequent in some shard, and whose local counts together reach the suppor
 (CELL_BITS); a cell that another phrase shares only lets a phrase through that is
 then counted in vain, and only if its parts share cells too. The last pass counts every
 candidate in every block, by its words, adds up the blocks of a task, and the sums are
-exact.
+exact. Almost every task meets almost every candidate, so this pass has few and long tasks:
+as many as there are cores, or more if each still reads WORDS_PER_COUNT words for every
+candidate. Its rows are then at most the candidates times the cores, or a share of the words.
 
 Defined results: null texts are empty; a null language counts as `und`, together
 with rows that say so; repeated rows count each; empty texts and an empty table
@@ -56,6 +58,8 @@ KEY_BITS = 40
 BATCH_ROWS = 1 << 17
 # Counts that a task of the last pass adds up before it passes on its largest language's.
 HELD_COUNTS = 1 << 19
+# Words that a task of the last pass reads for each candidate, unless cores would stand idle.
+WORDS_PER_COUNT = 128
 
 _PIECE_END = b"\n"
 _SPLITTING = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
@@ -301,6 +305,12 @@ def _candidate_counts(table: DataFrame, shared: Broadcast, max_words: int, held_
     return table.mapInArrow(run, "lang string, phrase string, n long")
 
 
+def counting_tasks(cells: np.ndarray, words: int, cores: int) -> int:
+    """How many tasks the last pass has at most, given the cells of all candidates."""
+    candidates = max(int(np.bitwise_count(cells).sum()), 1)
+    return max(cores, words // (WORDS_PER_COUNT * candidates))
+
+
 def frequent_phrases(
     docs: DataFrame,
     text: str = "text",
@@ -316,14 +326,16 @@ def frequent_phrases(
     Written tables: lang, phrase, words, f; and lang, n.
     """
     table = written(blocks(docs, text, lang, block_bytes, shards), "phrase_blocks")
-    totals = table.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    shared = table.sparkSession.sparkContext.broadcast(candidate_cells(table, support, max_words))
+    totals = written(table.groupBy("lang").agg(F.sum("n_words").alias("n")), "phrase_totals")
+    context = table.sparkSession.sparkContext
+    cells = candidate_cells(table, support, max_words)
+    tasks = counting_tasks(cells, totals.agg(F.sum("n")).first()[0] or 0, context.defaultParallelism)
 
-    counts = _candidate_counts(table, shared, max_words, held_counts)
+    counts = _candidate_counts(table.coalesce(tasks), context.broadcast(cells), max_words, held_counts)
     # Blocks of a task are added up where they are counted, so rows are dealt as they come.
     summed = counts.repartition("phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
     summed = summed.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "f")
-    return written(summed, "frequent_phrases"), written(totals, "phrase_totals")
+    return written(summed, "frequent_phrases"), totals
 
 
 def _joined(words: Column, start: Column | int, length: Column | int) -> Column:

@@ -161,3 +161,19 @@ def test_phrases_short_of_the_support_are_not_counted(spark):
     found = {row.phrase for row in phrases._candidate_counts(table, cells, 5, 1000).collect()}
     table.unpersist()
     assert found == {"p", "q", "p q", "q p", "p q p", "q p q", "p q p q"}
+
+
+def test_last_pass_gives_a_phrase_once_a_core(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "WORDS_PER_COUNT", 1 << 30)
+    docs = spark.range(0, 200, 1, 40).select(F.lit("alpha beta gamma").alias("text"), F.lit("en").alias("lang"))
+    counted, last = phrases._candidate_counts, []
+    monkeypatch.setattr(phrases, "_candidate_counts", lambda *given: last.append(counted(*given)) or last[0])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        frequent, _ = phrases.frequent_phrases(docs)
+        assert {(row.phrase, row.f) for row in frequent.collect()} == {(p, 200) for p in ("alpha", "beta", "gamma", "alpha beta", "beta gamma", "alpha beta gamma")}
+        assert last[0].count() <= 6 * spark.sparkContext.defaultParallelism < 6 * 40
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    cells = np.array([3, 1 << 63], np.uint64)
+    assert phrases.counting_tasks(cells, (1 << 30) * 3 * 7, 4) == 7 and phrases.counting_tasks(cells[:0], 0, 4) == 4
