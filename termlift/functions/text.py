@@ -12,15 +12,25 @@ from pyspark.sql import functions as F
 TERM_DELIMITERS = r"[\s\d()\[\]{}.!?;:+=\-_'`~#@&*%€$§\\/]+"
 FEATURE_DELIMITERS = r"[\s\d()\[\]{}.!?,;:+=\-_'`~#@&*%€$§\\/]+"
 
+# What the two classes of the delimiters hold, each character by itself.
+_SPELLED_OUT = {r"\s": r" \t\n\x0B\f\r", r"\d": "0123456789"}
+
 # Fixed value: the edges that `clean_term` strips (anything but ASCII letters and digits).
 EDGE_CHARACTERS = r"^[^A-Za-z0-9]+|[^A-Za-z0-9]+$"
 
 MIN_TERM_LENGTH = 2
 
 
+def spelled_out(delimiters: str) -> str:
+    """The same delimiters without classes inside the class: Java then tells most characters by one look into a table."""
+    for name, characters in _SPELLED_OUT.items():
+        delimiters = delimiters.replace(name, characters)
+    return delimiters
+
+
 def raw_terms(text: Column, delimiters: str) -> Column:
     """Lower-cased pieces between delimiters, empty and short ones included."""
-    return F.split(F.lower(text), delimiters)
+    return F.split(F.lower(text), spelled_out(delimiters))
 
 
 def is_term(term: Column, stop_words: Sequence[str] = (), min_length: int = MIN_TERM_LENGTH) -> Column:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,24 +61,38 @@ def row_count(df: DataFrame) -> DataFrame:
 def corpus_counts(with_terms: DataFrame) -> DataFrame:
     """Per term: occurrences `n` and number of rows that hold it, `df`.
 
-    Each row's terms are sorted and paired with their predecessor; a term that
-    differs from it counts its row once. That needs one shuffle, by term, where
-    grouping by document first would shuffle every (document, term) pair too.
-    Each row also adds one null term, so the null term's counts are the number
-    of rows and the texts need not be read again for it.
+    Each Arrow batch of rows gives its different terms with their counts, and
+    these are added up by one shuffle, by term. So a term is looked up in the
+    small dictionary of its batch, and not each occurrence in the aggregate's
+    table of a whole task's terms. Each batch also adds one null term for its
+    rows, so the null term's counts are the number of rows and the texts need
+    not be read again for it.
     """
-    nothing = F.array(F.lit(None).cast("string"))
-    ordered = with_terms.select(F.sort_array("terms").alias("t"))
-    pairs = F.arrays_zip(
-        F.concat("t", nothing).alias("term"), F.concat(nothing, F.col("t")).alias("before")
-    )
-    is_first = F.col("term").isNull() | ~F.col("term").eqNullSafe(F.col("before"))
-    return (
-        ordered.select(F.inline_outer(pairs))
-        .toDF("term", "before")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_first).alias("df"))
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _batch_counts(batch.column(0))
+
+    counted = with_terms.select("terms").mapInArrow(run, "term string, n long, df long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+
+
+def _batch_counts(bags: pa.Array) -> pa.RecordBatch:
+    """The different terms of some rows: occurrences and rows that hold them; the null term has the number of rows."""
+    flat, row = bags.flatten(), pc.list_parent_indices(bags)
+    if flat.null_count:
+        flat, row = flat.drop_null(), row.filter(flat.is_valid())
+    coded = flat.dictionary_encode()
+    code, size = coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    pairs = row.to_numpy() * size + code
+    pairs.sort()
+    first = np.ones(len(pairs), bool)
+    first[1:] = pairs[1:] != pairs[:-1]
+    n = np.bincount(code, minlength=size)
+    df = np.bincount(pairs[first] % size, minlength=size) if size else n
+    term = pa.concat_arrays([coded.dictionary.cast(pa.string()), pa.nulls(1, pa.string())])
+    columns = [term, *(pa.array(np.append(one, len(bags)), pa.int64()) for one in (n, df))]
+    return pa.RecordBatch.from_arrays(columns, ["term", "n", "df"])
 
 
 def document_freq(corpus: DataFrame) -> DataFrame:

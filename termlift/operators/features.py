@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from termlift.functions.text import FEATURE_DELIMITERS, MIN_TERM_LENGTH
+from termlift.functions.text import FEATURE_DELIMITERS, MIN_TERM_LENGTH, spelled_out
 from termlift.operators.counts import document_count, document_freq
 from termlift.operators.numbering import numbered
 from termlift.plans.scale import checked_broadcast
@@ -59,11 +59,15 @@ def tfidf_stages(vocab: DataFrame, terms: str = "terms") -> tuple[CountVectorize
 
 
 def term_stages(stop_words: Sequence[str], text: str = "reviewText") -> tuple[RegexTokenizer, StopWordsRemover]:
-    """Transformers from a text column to `tokens` to `terms`."""
+    """Transformers from a text column to `tokens` to `terms`.
+
+    Stop words match whatever their case: the tokens are lower-cased once, by the tokenizer, and the words here.
+    """
     tokenizer = RegexTokenizer(
-        inputCol=text, outputCol="tokens", pattern=FEATURE_DELIMITERS, minTokenLength=MIN_TERM_LENGTH
+        inputCol=text, outputCol="tokens", pattern=spelled_out(FEATURE_DELIMITERS), minTokenLength=MIN_TERM_LENGTH
     )
-    return tokenizer, StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=list(stop_words))
+    lowered = sorted({word.lower() for word in stop_words})
+    return tokenizer, StopWordsRemover(inputCol="tokens", outputCol="terms", stopWords=lowered, caseSensitive=True)
 
 
 def count_vectorizer(size: int = VOCABULARY_SIZE, min_documents: int = MIN_DOCUMENTS) -> CountVectorizer:

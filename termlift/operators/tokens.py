@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termlift.functions.text import TERM_DELIMITERS, is_term, raw_terms, terms
+from termlift.functions.text import FEATURE_DELIMITERS, TERM_DELIMITERS, is_term, raw_terms, terms
 from termlift.plans.scale import checked_broadcast
 from termlift.sources.stopwords import stop_word_list
 
@@ -48,3 +48,17 @@ def add_terms(
     if isinstance(stop_words, DataFrame):
         stop_words = stop_word_list(stop_words)
     return reviews.withColumn("terms", terms(F.col(text), stop_words=stop_words))
+
+
+def add_pieces(reviews: DataFrame, text: str = "reviewText") -> DataFrame:
+    """Add the array column `terms` as `add_terms` does, with short pieces and stop words still in it.
+
+    Spark calls a filter of an array for each element. Where pieces are counted anyway, dropping
+    them from the counts, by `kept_terms`, asks once for each different piece.
+    """
+    return reviews.withColumn("terms", raw_terms(F.col(text), FEATURE_DELIMITERS))
+
+
+def kept_terms(counted: DataFrame, stop_words: Sequence[str] = ()) -> DataFrame:
+    """The counts without those of short pieces and stop words, whatever their case; a null `term` stays."""
+    return counted.filter(F.col("term").isNull() | is_term(F.col("term"), sorted({word.lower() for word in stop_words})))

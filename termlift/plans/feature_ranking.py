@@ -18,7 +18,7 @@ from termlift.operators.features import (
     vocabulary,
 )
 from termlift.operators.selection import feature_chi2, rank_features
-from termlift.operators.tokens import add_terms
+from termlift.operators.tokens import add_pieces, kept_terms
 from termlift.plans.scale import spread, written
 from termlift.sources.stopwords import stop_word_list
 
@@ -45,15 +45,16 @@ def build_features(
     for the vectors. The vectors are written with every column of `reviews` but
     the text, and the labels are counted on that table. Both passes split the
     texts by SQL expressions; the model does the same by MLlib stages, so that
-    it can be saved and applied to raw texts.
+    it can be saved and applied to raw texts. Stop words and short pieces are
+    dropped from the counts: what the vocabulary has not, no vector has.
     By default all rows make the vocabulary and weights. To keep test rows out
     of them, pass the training rows as `fit_on`.
     """
     if isinstance(stop_words, DataFrame):
         stop_words = stop_word_list(stop_words)
-    documents = add_terms(spread(reviews), stop_words=stop_words)
-    fitted = documents if fit_on is None else add_terms(spread(fit_on), stop_words=stop_words)
-    corpus = written(corpus_counts(fitted), "corpus_counts")
+    documents = add_pieces(spread(reviews))
+    fitted = documents if fit_on is None else add_pieces(spread(fit_on))
+    corpus = written(kept_terms(corpus_counts(fitted), stop_words), "corpus_counts")
     vocab = vocabulary(corpus, size, min_documents)
     weighting = tfidf_stages(vocab)
     keep = [column for column in reviews.columns if column != "reviewText"]

@@ -3,6 +3,7 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -30,7 +31,9 @@ from termlift.operators.selection import (
     with_p_value,
 )
 from termlift.operators.tokens import add_terms, explode_terms
+from termlift.plans import feature_ranking as ranking_plan
 from termlift.plans.feature_ranking import build_features, feature_ranking
+from termlift.plans.scale import written
 from termlift.sources.tables import rows
 
 
@@ -57,6 +60,38 @@ def test_empty_documents_count(spark):
     assert {tuple(row) for row in counts.document_freq(corpus).collect()} == {("a", 1, 1), ("b", 2, 1)}
 
 
+def test_counts_do_not_depend_on_batches(spark, reviews):
+    documents = add_terms(reviews)
+    once = counts.corpus_counts(documents).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        again = counts.corpus_counts(documents.repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(map(tuple, once), key=str) == sorted(map(tuple, again), key=str)
+    bags = counts.corpus_counts(_bags(spark, ["a", None, "a"], [])).collect()
+    assert {tuple(row) for row in bags} == {("a", 2, 1), (None, 2, 2)}
+
+
+def test_text_passes_call_nothing_for_each_term(reviews, monkeypatch):
+    """Short pieces and stop words go when the counts are there; the vectors are those of terms without them."""
+    plans = {}
+
+    def caught(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return written(df, name)
+
+    monkeypatch.setattr(ranking_plan, "written", caught)
+    stop = [*STOP_WORDS, "Lorem"]
+    built = build_features(reviews, stop, size=300)
+    assert plans and all("lambda" not in plan for plan in plans.values())
+    terms = {row.term for row in built.vocabulary.collect()}
+    assert not terms & {word.lower() for word in stop} and min(map(len, terms)) >= 2
+    filtered = PipelineModel(list(tfidf_stages(built.vocabulary))).transform(add_terms(reviews, stop_words=stop))
+    expected = {row.doc_id: row.features for row in filtered.select("doc_id", "features").collect()}
+    assert {row.doc_id: row.features for row in built.vectors.select("doc_id", "features").collect()} == expected
+
+
 def test_vocabulary_ties_and_weights(spark):
     corpus = counts.corpus_counts(_bags(spark, ["b", "a"], ["b", "a"], ["c", "b", "a"], ["d", "d", "d"]))
     vocab = vocabulary(corpus, size=2, min_documents=2).orderBy("featureIndex").collect()
