@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorSlicer
+from pyspark import SparkContext
+from pyspark.ml.feature import ChiSqSelector, ChiSqSelectorModel
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,6 +139,16 @@ def pvalue_ranking(vectors: DataFrame, k: int, features: str = "features", label
     return ranked
 
 
-def pvalue_slicer(ranking: Sequence[int], k: int, features: str = "features", output: str = "selected") -> VectorSlicer:
-    """Keeps the k first features of a ranking, in index order."""
-    return VectorSlicer(inputCol=features, outputCol=output, indices=sorted(ranking[:k]))
+def pvalue_slicer(ranking: Sequence[int], k: int, features: str = "features", output: str = "selected") -> ChiSqSelectorModel:
+    """Keeps the k first features of a ranking, in index order.
+
+    It is the model that MLlib's own selection by this test gives. It walks through a row's entries
+    and the kept indexes together, where a vector slicer searches the row for every kept index.
+    """
+    kept = sorted(ranking[:k])
+    gateway = SparkContext._active_spark_context._gateway
+    indexes = gateway.new_array(gateway.jvm.int, len(kept))
+    for place, index in enumerate(kept):
+        indexes[place] = int(index)
+    java = ChiSqSelectorModel._new_java_obj("org.apache.spark.ml.feature.ChiSqSelectorModel", ChiSqSelector().uid, indexes)
+    return ChiSqSelectorModel(java).setFeaturesCol(features).setOutputCol(output)

@@ -127,7 +127,7 @@ def best_params(model: PipelineModel, test: DataFrame) -> DataFrame:
     svm = ovr.getClassifier()
     f1 = f1_evaluator().evaluate(model.transform(test))
     row = (
-        len(selector.getIndices()),
+        len(selector.selectedFeatures),
         scaling.getWithStd(),
         svm.getRegParam(),
         svm.getMaxIter(),

@@ -4,16 +4,18 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from termlift.catalog import queries
-from termlift.operators import classify, split, svm, tuning
+from termlift.operators import classify, selection, split, svm, tuning
 from termlift.operators import features as feature_ops
 from termlift.operators.numbering import numbered
 from termlift.plans.classifier import randomly_tuned_classifier
 from termlift.plans.feature_ranking import build_features
-from termlift.plans.scale import scratch_path
+from termlift.plans.scale import scratch_path, storage_room
 from termlift.plans.scoring import score_texts, text_classifier
 from termlift.sinks.models import load_model, save_model
 from termlift.sources.reviews import read_reviews, read_with_rejects
@@ -108,6 +110,53 @@ def test_rows_are_not_dealt_anew_by_label(spark, monkeypatch):
     assert len(sizes) > 1 and max(sizes) < 0.6 * 4000
 
 
+def test_points_are_fitted_at_a_time_as_memory_allows(spark):
+    assert queries._at_a_time(1 << 20, 1 << 40) == (queries.POINTS, queries.PARALLELISM)
+    assert queries._at_a_time(0, 0) == queries._at_a_time(1 << 40, 1 << 30) == (1, 1)
+    for size in (3, 10, 33, 100, 200, 500):
+        points, classes = queries._at_a_time(size, 1000)
+        assert points * (classes + 1) * size <= 1000
+    assert 0 < storage_room(spark) < 1 << 40
+
+
+def test_all_points_are_checked_alone_at_the_same_time(spark, features, monkeypatch):
+    """Every point has its own whole fit, and fits overlap."""
+    running, most, fitted = [], [], []
+    real = classify.classifier_pipeline
+
+    class Watched:
+        def __init__(self, *values):
+            self.values, self.pipeline = values, real(*values)
+
+        def fit(self, train):
+            running.append(self)
+            most.append(len(running))
+            try:
+                return self.pipeline.fit(train)
+            finally:
+                running.remove(self)
+                fitted.append(self.values[1:5])
+
+    monkeypatch.setattr(queries.classify, "classifier_pipeline", Watched)
+    data = features.vectors.select("label", "features")
+    points = [(40, std, reg, 2) for std in (True, False) for reg in (0.1, 1.0)]
+    metrics = rows(spark, [(*point, 2.0) for point in points], "numTopFeatures int, withStd boolean, regParam double, maxIter int, f1 double")
+    found = queries._checked_alone(metrics, data, data).collect()
+    assert [tuple(row) for row in found] == [(*point, False) for point in points]
+    assert sorted(fitted) == sorted(points) and max(most) > 1
+
+
+def test_selection_equals_a_vector_slicer(features):
+    ranking = [7, 3, 250, 0, 12, 99]
+    sliced = VectorSlicer(inputCol="features", outputCol="other", indices=[0, 3, 7, 250]).transform(features.vectors)
+    both = selection.pvalue_slicer(ranking, 4).transform(sliced).select("selected", "other").collect()
+    assert both and all(row.selected == row.other for row in both)
+    model = selection.pvalue_slicer(ranking, 4)
+    path = scratch_path(features.vectors.sparkSession, "selector")
+    save_model(PipelineModel([model]), path)
+    assert load_model(path).stages[0].selectedFeatures == model.selectedFeatures == [0, 3, 7, 250]
+
+
 def test_dense_empty_and_constant_features(spark):
     vectors = [Vectors.dense(1.0, 2.0, 5.0), Vectors.sparse(3, [], []), Vectors.dense(0.5, 0.0, 5.0), Vectors.sparse(3, [1], [4.0])]
     data = spark.createDataFrame([(float(i % 3 == 0), vectors[i % 4]) for i in range(20)], ["label", "normal"])
