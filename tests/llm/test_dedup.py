@@ -1,12 +1,15 @@
 """Suffix-array removal, MinHash and lattice links against brute force."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from termlift.llm import bwt, components, lattice, minhash, shingles, suffix_dedup
+from termlift.plans.scale import scratch_paths
 from termlift.sources.tables import rows
 from tests.llm.conftest import made, words
 
@@ -223,3 +226,75 @@ def test_vectors_of_any_size_are_compared(spark, scale):
     table = rows(spark, [(i, vector.tolist(), 1) for i, vector in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
     got = {row.vec_id: (row.n_links, row.component_id) for row in lattice.near_duplicates(table).collect()}
     assert got == {i: (1, i % 6) for i in range(12)}
+
+
+def grouped_vectors(rng, count, length):
+    """Random vectors, two fifths of them in groups of near copies of several sizes."""
+    made = rng.standard_normal((count, length))
+    at = 0
+    for size in (2, 3, 5, 12, count // 5):
+        made[at : at + size] = made[at] + 0.15 * rng.standard_normal((size, length)) / np.sqrt(length) * np.linalg.norm(made[at])
+        at += size
+    return lattice.unit_rows(made[rng.permutation(count)])
+
+
+def meeting_pairs(unit):
+    """The pairs x < y at the threshold that meet in a cell of any table, from all pairs."""
+    own, near = lattice.cells(unit, lattice.TABLES, lattice.PROBES, lattice.WIDTH)
+    looks = np.zeros((len(unit), len(unit)), bool)
+    for names, roots in zip(own, near):
+        for probe in (None, *range(lattice.PROBES)):
+            into = names if probe is None else names + lattice.names(lattice.roots())[roots[:, probe]]
+            looks |= into[:, None] == names[None, :]
+    return np.argwhere(np.triu((looks | looks.T) & (unit @ unit.T >= 0.93), 1))
+
+
+def chunk_of(unit):
+    own, near = lattice.cells(unit, lattice.TABLES, lattice.PROBES, lattice.WIDTH)
+    ones = np.ones(len(unit), np.int64)
+    return lattice.Chunk(pa.array(np.arange(len(unit))), ones, ones, unit, own, near, 0.93)
+
+
+@pytest.mark.parametrize("count, length, batch", [(300, 8, 64), (2500, 12, 512), (700, 70, 1 << 15)])
+def test_chunks_give_each_meeting_pair_once(monkeypatch, count, length, batch):
+    monkeypatch.setattr(lattice, "BATCH", batch)
+    unit = grouped_vectors(np.random.default_rng(length), count, length)
+    want = [tuple(pair) for pair in meeting_pairs(unit).tolist()]
+    assert len(want) > count
+    alone = [tuple(sorted(pair)) for x, y in lattice.links_between(*[chunk_of(unit)] * 2) for pair in zip(x.tolist(), y.tolist())]
+    assert sorted(alone) == want
+    half = count // 3
+    across = [(i, half + j) for x, y in lattice.links_between(chunk_of(unit[:half]), chunk_of(unit[half:])) for i, j in zip(x.tolist(), y.tolist())]
+    assert sorted(across) == [(i, j) for i, j in want if i < half <= j]
+
+
+def test_lattice_rounds_compare_every_two_chunks(spark):
+    """Labels of five, four and one chunk, and one that shares its block, count the links of all pairs that meet."""
+    rng = np.random.default_rng(11)
+    values, want, start = [], {}, 0
+    for label, count in enumerate((200, 150, 40, 3)):
+        unit = grouped_vectors(rng, count, 16) if count > 40 else lattice.unit_rows(rng.standard_normal((1, 16)) + 0.02 * rng.standard_normal((count, 16)))
+        links, root = np.zeros(count, int), np.arange(count)
+        for x, y in meeting_pairs(unit):
+            links[[x, y]] += 1
+            root[root == max(root[x], root[y])] = min(root[x], root[y])
+        values += [(start + i, vector.tolist(), label) for i, vector in enumerate(unit)]
+        want |= {start + i: (links[i], start + root[i]) for i in range(count)}
+        start += count
+    table = rows(spark, values, "vec_id long, embedding array<double>, label int")
+    blocks, most, _ = lattice._written_blocks(table, "vec_id", "embedding", "label", 8, 12, 1.1, 12_000, 1)
+    assert most == 5 and {row.chunks for row in spark.read.parquet(blocks).select("chunks").distinct().collect()} == {1, 4, 5}
+    got = lattice.near_duplicates(table, block_bytes=12_000, chunk_blocks=1).collect()
+    assert {row.vec_id: (row.n_links, row.component_id) for row in got} == want
+
+
+def test_lattice_keeps_less_than_four_times_its_input(spark, monkeypatch):
+    """What it writes grows with the vectors, not with the cells that they look into nor the pairs that meet there."""
+    monkeypatch.setattr(lattice, "delete_scratch", lambda spark, paths: None, raising=False)
+    vectors = np.random.default_rng(12).standard_normal((4000, 64)).astype(np.float32)
+    table = rows(spark, [(i, vector.tolist(), 1) for i, vector in enumerate(vectors)], "vec_id long, embedding array<float>, label int")
+    before = set(scratch_paths())
+    assert lattice.near_duplicates(table).count() == 4000
+    folders = [path.removeprefix("file:") for path in scratch_paths() if path not in before]
+    kept = sum(os.path.getsize(os.path.join(folder, name)) for path in folders for folder, _, names in os.walk(path) for name in names)
+    assert vectors.nbytes < kept < 4 * vectors.nbytes
