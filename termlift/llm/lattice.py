@@ -56,8 +56,9 @@ CHUNK_BLOCKS = 16
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 # Partitions of a shuffle of blocks, at most.
 PARTITIONS = 2000
-# Pairs of a task that are looked at together, and slots (as a power of two) that its cells are looked up by.
+# Pairs of a task that are looked at together, vectors that look up others together, and slots (as a power of two) of cells.
 BATCH = 1 << 15
+LOOKERS = 1 << 13
 SLOT_BITS = 18
 # Components count as large from about this many standard deviations on; large ones of unlike sign keep vectors apart.
 # They are counted in the vectors as they stand and turned in so many ways.
@@ -292,18 +293,24 @@ def _candidates(one: Chunk, other: Chunk, table: int) -> Iterator[tuple[np.ndarr
     """Pairs (x, y) where `x` of `one` looks into the cell of `y` of `other`, but for many that are too far apart; few that do not meet are among them."""
     shift = np.uint32(32 - SLOT_BITS)
     stored = other.own[table] >> shift
-    order = np.argsort(stored, kind="stable").astype(np.int32)
+    order = np.argsort(stored, kind="stable")
     many = np.bincount(stored, minlength=1 << SLOT_BITS)
     first = (np.cumsum(many) - many).astype(np.int32)
     # Their ranks fit 16 bits unless a chunk has more vectors than that; then sorting takes longer.
     many = many.astype(np.uint16 if many.max() < 1 << 16 else np.int64)
     signs = other.signs[0][order]
-    own, near = one.own[table], one.near[table]
-    for probe in range(-1, near.shape[1]):
-        slots = (own if probe < 0 else own + _steps()[near[:, probe]]) >> shift
+    by_cell = np.argsort(one.own[table])
+    for start in range(0, len(one), LOOKERS):
+        # Some neighbouring cells at a time, root by root, so that what is looked up lies close together.
+        lookers = by_cell[start : start + LOOKERS]
+        own, near = one.own[table][lookers], one.near[table].take(lookers, axis=0)
+        looks = np.argsort(near.ravel(), kind="stable")
+        row = looks // near.shape[1]
+        slots = np.concatenate([own, own[row] + _steps()[near.ravel()[looks]]]) >> shift
         count = many[slots]
-        rows = np.argsort(count, kind="stable")[::-1][: np.count_nonzero(count)]
-        count, starts, mine = count[rows].astype(np.int64), first[slots[rows]], one.signs[0][rows]
+        found = np.argsort(count, kind="stable")[::-1][: np.count_nonzero(count)]
+        rows = np.concatenate([lookers, lookers[row]])[found]
+        count, starts, mine = count[found].astype(np.int64), first[slots[found]].astype(np.int64), one.signs[0][rows]
         for some, rank in _by_rank(count):
             at = starts[some] + rank
             left = np.flatnonzero(_unlike(mine[some], signs.take(at)) <= one.most)
@@ -443,16 +450,20 @@ def _packed(size: int, kind: T.DataType, tables: int, probes: int, width: float)
     return run, schema
 
 
-def _as_chunk(rows_of: pa.Table, size: int, tables: int, probes: int, threshold: float) -> Chunk:
-    def joined(name: str, kind: type) -> np.ndarray:
-        return np.concatenate([np.frombuffer(value.as_buffer(), kind) for value in rows_of[name]])
+def _as_chunk(group: pa.Table, chosen: np.ndarray, size: int, tables: int, probes: int, threshold: float) -> Chunk:
+    """The chunk that some rows of blocks make up. Their bytes are read where they are."""
 
-    def by_table(name: str, kind: type, *shape: int) -> np.ndarray:
-        return np.concatenate([np.frombuffer(value.as_buffer(), kind).reshape(tables, -1, *shape) for value in rows_of[name]], axis=1)
+    def values(name: str, kind: type, *shape: int) -> list[np.ndarray]:
+        column = group[name]
+        return [np.frombuffer(column[row].as_buffer(), kind).reshape(*shape) for row in chosen.tolist()]
 
-    vectors = joined("vectors", np.float32 if size == 4 else np.float64).reshape(-1, rows_of["length"][0].as_py())
-    reps = pa.concat_arrays([part.flatten() for part in rows_of["reps"].chunks])
-    return Chunk(reps, joined("copies", np.int64), joined("labels", np.int64), vectors, by_table("own", np.uint32), by_table("near", np.uint8, probes), threshold)
+    length = group["length"][0].as_py()
+    vectors = np.concatenate(values("vectors", np.float32 if size == 4 else np.float64, -1, length))
+    reps = pa.concat_arrays([group["reps"][row].values for row in chosen.tolist()])
+    copies, labels = (np.concatenate(values(name, np.int64, -1)) for name in ("copies", "labels"))
+    own = np.concatenate(values("own", np.uint32, tables, -1), axis=1)
+    near = np.concatenate(values("near", np.uint8, tables, -1, probes), axis=1)
+    return Chunk(reps, copies, labels, vectors, own, near, threshold)
 
 
 def _freed(spark: SparkSession) -> None:
@@ -519,7 +530,7 @@ def _round(blocks: DataFrame, number: int, partitions: int, threshold: float, si
 
     def run(group: pa.Table) -> pa.Table:
         sides = group["chunk"].to_numpy()
-        parts = [_as_chunk(group.filter(pa.array(sides == side)), size, tables, probes, threshold) for side in np.unique(sides)]
+        parts = [_as_chunk(group, np.flatnonzero(sides == side), size, tables, probes, threshold) for side in np.unique(sides)]
         return _linked(parts, number == 0)
 
     kind = blocks.schema["reps"].dataType.elementType.simpleString()
@@ -549,14 +560,16 @@ def near_links(
     spark = vectors.sparkSession
     size = 4 if _vector_type(vectors, vector) == "array<float>" else 8
     path, most, chunks = _written_blocks(vectors, key, vector, label, tables, probes, width, block_bytes, chunk_blocks)
-    blocks = spark.read.parquet(path)
     paths = []
     for number in range(most - 1 + most % 2):
+        # The plan of the last job is held until another one has run; here that is the one that looks at the files.
+        blocks = spark.read.parquet(path)
         _freed(spark)
         paths.append(_round(blocks, number, max(1, min(2 * chunks, PARTITIONS)), threshold, size, tables, probes))
     delete_scratch(spark, [path])
+    links = spark.read.parquet(*paths)
     _freed(spark)
-    return spark.read.parquet(*paths)
+    return links
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", **options: float) -> DataFrame:
